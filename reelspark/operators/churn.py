@@ -43,7 +43,8 @@ def churn_features(
     def counted(column: str) -> Column:
         return F.coalesce(F.col(column), F.lit(0)).cast("bigint").alias(column)
 
-    idle = F.greatest(whole_days(newest, F.col("last_event")), F.lit(0))
+    last = F.col("last_event")
+    idle = F.when(last.isNotNull(), F.greatest(whole_days(newest, last), F.lit(0)))
     return (
         users.join(behaviour, "user_id", "left")
         .join(first_status, "user_id", "left")

@@ -1123,7 +1123,7 @@ def statements() -> dict[str, str]:
         EV_FLAGS,
     )
     s["ov_valid_rate"] = with_(
-        f"""SELECT total_records, {r1('valid_records::DOUBLE / total_records * 100.0::DOUBLE')} AS valid_percent
+        f"""SELECT total_records, valid_records, {r1('valid_records::DOUBLE / total_records * 100.0::DOUBLE')} AS valid_percent
         FROM {audit('events')}""",
         EV_FLAGS,
     )
