@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -40,6 +41,19 @@ def lookup_join(
     return joined.drop(_SPREAD, *(f"_right_{k}" for k in [*keys, _SPREAD]))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write a frame as a table next to the checkpoints and read it back.
+
+    Used where a result feeds several branches: it is computed once, later stages
+    read only the columns they need, and a lost executor repeats no upstream work.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def sorted_positions(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Add each row's 0-based position in the global order.
 

@@ -521,18 +521,14 @@ def _(spark, folder):
 
 @query("tfidf_index")
 def _(spark, folder):
-    index = retrieval.tfidf_index(_chunks(spark, folder))
+    index = retrieval.tfidf_index(retrieval.build_corpus(Tables(spark, folder).documents))
     return index.withColumn("weight", F.round("weight", 6))
 
 
 def _hits(spark, folder) -> DataFrame:
-    chunks = _chunks(spark, folder)
-    return retrieval.tfidf_search(
-        Tables(spark, folder).search_queries,
-        chunks,
-        retrieval.tfidf_index(chunks),
-        retrieval.term_frequency(chunks),
-    )
+    t = Tables(spark, folder)
+    corpus = retrieval.build_corpus(t.documents)
+    return retrieval.tfidf_search(t.search_queries, corpus, retrieval.tfidf_index(corpus))
 
 
 @query("tfidf_search")
@@ -548,7 +544,7 @@ def _(spark, folder):
 
 @query("doc_inventory")
 def _(spark, folder):
-    return retrieval.document_inventory(_chunks(spark, folder))
+    return retrieval.document_inventory(Tables(spark, folder).documents)
 
 
 # --- stream operators in batch form, overview ---------------------------------------------
