@@ -9,13 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelspark.contracts import EXPECTED_TYPES
-from reelspark.functions.exprs import count_where, to_number
 from reelspark.operators.quality import source_columns
 
-_ENTRY = (
-    "struct<column_name:string,kind:string,expected:string,actual:string,warning:string>"
-)
-
 
 def _declared_type(kind: T.DataType) -> str | None:
     """Dtype family of a typed column; text columns are judged by their values."""
@@ -30,21 +25,26 @@ def _declared_type(kind: T.DataType) -> str | None:
     return "datetime64[ns]" if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else "object"
 
 
+# One bit per kind of value: whole number 1, other number 2, truth value 4, text 8.
+_KINDS = """coalesce(bit_or(CASE
+    WHEN `{c}` RLIKE '^[ \\t]*[+-]?[0-9]+[ \\t]*$' THEN 1
+    WHEN nullif(try_cast(`{c}` AS DOUBLE), double('NaN')) IS NOT NULL THEN 2
+    WHEN lower(`{c}`) IN ('true', 'false') THEN 4
+    WHEN `{c}` IS NOT NULL THEN 8 END), 0)"""
+
+
 def _inferred_type(column: str) -> Column:
     """What a reader would infer from the text values of a whole column: all whole
-    numbers, all numbers (or numbers with gaps), all booleans, otherwise text."""
-    c = F.col(column)
-    present = F.count(c)
-    whole = count_where(c.rlike(r"^\s*[+-]?[0-9]+\s*$"))
-    numeric = F.count(to_number(c))
-    truth = count_where(F.lower(c).isin("true", "false"))
-    complete = F.count("*") == present
-    return (
-        F.when(present == 0, "float64")
-        .when((truth == present) & complete, "bool")
-        .when((whole == present) & complete, "int64")
-        .when(numeric == present, "float64")
-        .otherwise("object")
+    numbers, all numbers (or numbers with gaps), all booleans, otherwise text. The
+    kinds that occur are gathered as bits, one aggregate per column."""
+    kinds = _KINDS.format(c=column)
+    complete = f"count(*) = count(`{column}`)"
+    return F.expr(
+        f"""CASE WHEN {kinds} = 0 THEN 'float64'
+            WHEN {kinds} = 1 AND {complete} THEN 'int64'
+            WHEN {kinds} = 4 AND {complete} THEN 'bool'
+            WHEN {kinds} <= 3 THEN 'float64'
+            ELSE 'object' END"""
     )
 
 
@@ -58,74 +58,65 @@ def column_types(df: DataFrame) -> DataFrame:
     return df.agg(*families)
 
 
-def compatible(expected: str, actual: Column) -> Column:
-    def has(part: str) -> Column:
-        return F.contains(actual, F.lit(part))
-
-    same = actual == expected
+def compatible(expected: str, actual: str) -> str:
+    """SQL condition: values of the ``actual`` dtype fit where ``expected`` is declared."""
+    fits = [f"{actual} = '{expected}'"]
     if "int" in expected:
-        return same | has("int")
+        fits.append(f"contains({actual}, 'int')")
     if "float" in expected:
-        return same | has("float") | has("int")
+        fits.append(f"contains({actual}, 'float') OR contains({actual}, 'int')")
     if expected == "object":
-        return same | has("str")
-    return same
+        fits.append(f"contains({actual}, 'str')")
+    return " OR ".join(fits)
 
 
-def _entry(column: str, kind: str, expected: Column, actual: Column, warning: Column) -> Column:
-    return F.struct(
-        F.lit(column).alias("column_name"),
-        F.lit(kind).alias("kind"),
-        expected.cast("string").alias("expected"),
-        actual.cast("string").alias("actual"),
-        warning.alias("warning"),
+def _entry(column: str, kind: str, expected: str, actual: str, warning: str) -> str:
+    """SQL struct of one finding; the last three arguments are SQL expressions."""
+    return (
+        f"named_struct('column_name', '{column}', 'kind', '{kind}', 'expected', {expected},"
+        f" 'actual', {actual}, 'warning', {warning})"
     )
 
 
+_NOTHING = "CAST(NULL AS STRING)"
+
+
 def check_drift(df: DataFrame, dataset: str) -> DataFrame:
     """Drift report, one row per finding, with the severity of the dataset."""
+    name = F.lit(dataset).alias("dataset")
     contract = EXPECTED_TYPES.get(dataset)
-    nothing = F.lit(None)
     if contract is None:
-        warning = f"No baseline schema registered for '{dataset}'."
-        entries = F.array(_entry("", "unregistered", nothing, nothing, F.lit(warning)))
-        return df.agg(entries.alias("_e")).select(
-            F.lit(dataset).alias("dataset"), F.inline("_e"), F.lit("None").alias("severity")
+        warning = f"\"No baseline schema registered for '{dataset}'.\""
+        entry = _entry("", "unregistered", _NOTHING, _NOTHING, warning)
+        return df.agg(F.expr(f"array({entry})").alias("_e")).select(
+            name, F.inline("_e"), F.lit("None").alias("severity")
         )
     arrived = source_columns(df)
     added = sorted(set(arrived) - set(contract))
     missing = sorted(set(contract) - set(arrived))
     common = sorted(set(contract) & set(arrived))
-    types = column_types(df)
     entries = [
-        _entry(c, "added", nothing, F.col(c),
-               F.lit(f"WARNING: New column detected: '{c}' (Potential Schema Expansion)"))
+        _entry(c, "added", _NOTHING, f"`{c}`",
+               f"\"WARNING: New column detected: '{c}' (Potential Schema Expansion)\"")
         for c in added
     ]
     entries += [
-        _entry(c, "missing", F.lit(contract[c]), nothing,
-               F.lit(f"CRITICAL: Missing expected column: '{c}'"))
+        _entry(c, "missing", f"'{contract[c]}'", _NOTHING, f"\"CRITICAL: Missing expected column: '{c}'\"")
         for c in missing
     ]
-    entries += [
-        F.when(
-            ~compatible(contract[c], F.col(c)),
-            _entry(c, "type_mismatch", F.lit(contract[c]), F.col(c),
-                   F.concat(F.lit(f"WARNING: Column '{c}' expected {contract[c]}, got "), F.col(c))),
-        )
-        for c in common
-    ]
-    found = F.array_compact(F.array(*(e.cast(_ENTRY) for e in entries)))
-    mismatched = F.exists("_e", lambda e: e["kind"] == "type_mismatch")
-    severity = (
-        F.lit("High")
-        if missing
-        else F.when(mismatched, "Medium").otherwise("Low" if added else "None")
+    for c in common:
+        warning = f"concat(\"WARNING: Column '{c}' expected {contract[c]}, got \", `{c}`)"
+        entry = _entry(c, "type_mismatch", f"'{contract[c]}'", f"`{c}`", warning)
+        entries.append(f"CASE WHEN NOT ({compatible(contract[c], f'`{c}`')}) THEN {entry} END")
+    severity = "'High'" if missing else (
+        f"CASE WHEN exists(_e, e -> e.kind = 'type_mismatch') THEN 'Medium' ELSE '{'Low' if added else 'None'}' END"
     )
+    found = F.expr(f"array_compact(array({', '.join(entries)}))").alias("_e")
     return (
-        types.select(found.alias("_e"))
-        .withColumn("severity", severity)
-        .select(F.lit(dataset).alias("dataset"), F.inline("_e"), "severity")
+        column_types(df)
+        .select(found)
+        .withColumn("severity", F.expr(severity))
+        .select(name, F.inline("_e"), "severity")
     )
 
 
