@@ -105,7 +105,7 @@ def _(spark, folder):
 @query("table_row_counts")
 def _(spark, folder):
     t = Tables(spark, folder)
-    history = marts.watch_history(t.events, t.content)
+    history = marts.watch_totals(t.events)  # the history has one row per total
     return reports.table_row_counts(
         {
             "users": t.users,
@@ -315,7 +315,7 @@ def _(spark, folder):
             "content": t.content,
             "events": t.events,
             "subscriptions": t.subscriptions,
-            "watch_history": marts.watch_history(t.events, t.content),
+            "watch_history": marts.watch_totals(t.events),
         }
     )
 

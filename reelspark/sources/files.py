@@ -55,7 +55,6 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files as documents named by their file."""
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     return (
-        spark.read.option("wholetext", True)
-        .text(path)
+        spark.read.text(path, wholetext=True)
         .select(name.alias("doc_id"), F.col("value").alias("text"), name.alias("source"))
     )

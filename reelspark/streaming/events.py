@@ -189,9 +189,18 @@ def metrics(checked: DataFrame) -> DataFrame:
     )
 
 
+def _on_time(events: DataFrame, delay: str) -> DataFrame:
+    """Set the watermark of a stream; its clock must be of the zoned type. A batch
+    frame has no late rows and is left alone."""
+    if not events.isStreaming:
+        return events
+    zoned = events.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    return zoned.withWatermark("timestamp", delay)
+
+
 def drop_repeats(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     """One event per id within the watermark; the state is bounded by the delay."""
-    return events.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["event_id"])
+    return _on_time(events, delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
 def typed(checked: DataFrame) -> DataFrame:
@@ -204,8 +213,12 @@ def typed(checked: DataFrame) -> DataFrame:
 
 
 def _windowed(events: DataFrame, delay: str, length: str) -> DataFrame:
-    """Late rows are dropped on streams; the watermark does nothing on a batch frame."""
-    return events.withWatermark("timestamp", delay).withColumn("_window", F.window("timestamp", length))
+    """Tumbling windows; rows later than the delay are dropped on streams."""
+    return _on_time(events, delay).withColumn("_window", F.window("timestamp", length))
+
+
+def _window_start() -> Column:
+    return F.col("_window.start").cast("timestamp_ntz").alias("window_start")
 
 
 def usage_windows(events: DataFrame, delay: str = "1 day", exact: bool = False) -> DataFrame:
@@ -221,7 +234,7 @@ def usage_windows(events: DataFrame, delay: str = "1 day", exact: bool = False)
             F.sum(F.when(is_watch(), F.col("watch_time_mins")).otherwise(0)).alias("total_daily_watch_mins"),
             F.count_if(F.col("event_type") == "subscription").alias("new_subscriptions_started"),
         )
-        .select(F.col("_window.start").alias("window_start"), "*")
+        .select(_window_start(), "*")
         .drop("_window")
     )
 
@@ -236,7 +249,7 @@ def multi_ip_windows(events: DataFrame, delay: str = "1 day", length: str = "1 d
         .groupBy("_window", "user_id")
         .agg(F.count("*").alias("n_ips"))
         .where(F.col("n_ips") > MAX_ADDRESSES)
-        .select(F.col("_window.start").alias("window_start"), "user_id", "n_ips")
+        .select(_window_start(), "user_id", "n_ips")
     )
 
 
@@ -247,7 +260,7 @@ def friction_windows(events: DataFrame, delay: str = "1 day", length: str = "1 d
         .groupBy("_window")
         .agg(ratio(trouble, F.count("event_type")).alias("friction"))
         .where(F.col("friction") > MAX_FRICTION)
-        .select(F.col("_window.start").alias("window_start"), "friction")
+        .select(_window_start(), "friction")
     )
 
 
@@ -256,7 +269,7 @@ def long_session_windows(events: DataFrame, length: str = "1 day") -> DataFrame:
     return (
         events.where(is_watch() & (F.col("watch_time_mins") > MAX_SESSION_MINS))
         .withColumn("_window", F.window("timestamp", length))
-        .select(F.col("_window.start").alias("window_start"), "event_id", "user_id", "watch_time_mins")
+        .select(_window_start(), "event_id", "user_id", "watch_time_mins")
     )
 
 
@@ -270,5 +283,5 @@ def scraper_windows(events: DataFrame, delay: str = "1 day", length: str = "1 da
             F.count_if(is_watch()).alias("_plays"),
         )
         .where((F.col("searches") >= MIN_SEARCHES) & (F.col("_plays") == 0))
-        .select(F.col("_window.start").alias("window_start"), "user_id", "searches")
+        .select(_window_start(), "user_id", "searches")
     )

@@ -100,7 +100,7 @@ def test_router_presets(spark):
         ("Which content is trending?", "Trend Analysis"),
         ("Summarize the current data quality status.", "Data Governance & Quality"),
         ("What is our subscription MRR and breakdown?", "Financial Analytics"),
-        ("Please explain", "Financial Analytics"),
+        ("An explanation, please", "Financial Analytics"),
         ("Hi", "Platform Summary"),
     ]
     df = spark.createDataFrame([(q,) for q, _ in asked], "question string")
