@@ -3,41 +3,69 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.contracts import ORDINAL
+from reelspark.contracts import KEYS, ORDINAL
 from reelspark.operators import cleaning, drift, quality
 from reelspark.plans.marts import watch_history, watch_totals
 from reelspark.sources.sinks import VersionedStore, append_log, write_raw_documents
 
 
-def _one(df: DataFrame, column: str):
-    return df.select(column).scalar()
+CLEANERS = {
+    "users": cleaning.clean_users,
+    "content": cleaning.clean_content,
+    "subscriptions": cleaning.clean_subscriptions,
+    "events": cleaning.clean_events,
+}
 
 
-def batch_metrics(raw: dict[str, DataFrame]) -> DataFrame:
-    """The metrics row of a run: rows in and out, scores, drops."""
-    stats = {name: cleaning.clean_stats(df, name) for name, df in raw.items()}
-    audits = {name: quality.audit(raw[name], name) for name in ("events", "users")}
-    pairs = watch_totals(cleaning.clean_events(raw["events"])).agg(F.count("*").alias("n"))
+def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The cleaned datasets and the watch totals, as plans."""
+    cleaned = {name: clean(raw[name]) for name, clean in CLEANERS.items()}
+    cleaned["watch_history"] = watch_totals(cleaned["events"])
+    return cleaned
 
-    def stat(name: str, column: str):
-        return _one(stats[name], column)
 
-    extracted = sum((stat(n, "initial_rows") for n in ("content", "subscriptions", "events")), F.col("initial_rows"))
-    return stats["users"].select(
-        extracted.alias("total_extracted"),
-        F.col("cleaned_rows").alias("users_loaded"),
-        stat("content", "cleaned_rows").alias("content_loaded"),
-        stat("subscriptions", "cleaned_rows").alias("subs_loaded"),
-        stat("events", "cleaned_rows").alias("events_loaded"),
-        pairs.scalar().alias("watch_history_derived"),
-        _one(audits["events"], "dq_score").alias("events_dq_score"),
-        _one(audits["users"], "dq_score").alias("users_dq_score"),
-        stat("events", "invalid_dropped").alias("invalid_dropped"),
-        (stat("events", "duplicates_removed") + F.col("duplicates_removed")).alias("duplicates_removed"),
+def _movements(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame]) -> DataFrame:
+    """Rows in, distinct keys and rows out per dataset; only keys are shuffled."""
+
+    def counted(name: str) -> DataFrame:
+        keys = raw[name].groupBy(KEYS[name]).agg(F.count("*").alias("_n"))
+        return keys.agg(
+            F.lit(name).alias("dataset"),
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_in"),
+            F.count("*").alias("keys"),
+        ).withColumn("rows_out", cleaned[name].agg(F.count("*").alias("n")).scalar())
+
+    return reduce(DataFrame.unionByName, [counted(name) for name in raw])
+
+
+def batch_metrics(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame]) -> DataFrame:
+    """The metrics row of a run. ``cleaned`` holds the stored tables or their plans."""
+
+    def of(name: str, value: str):
+        return F.max(F.when(F.col("dataset") == name, F.expr(value)))
+
+    def score(name: str):
+        return quality.audit(raw[name], name).select("dq_score").scalar()
+
+    loaded = _movements(raw, cleaned).agg(
+        F.sum("rows_in").alias("total_extracted"),
+        of("users", "rows_out").alias("users_loaded"),
+        of("content", "rows_out").alias("content_loaded"),
+        of("subscriptions", "rows_out").alias("subs_loaded"),
+        of("events", "rows_out").alias("events_loaded"),
+        of("events", "keys - rows_out").alias("invalid_dropped"),
+        (of("events", "rows_in - keys") + of("users", "rows_in - keys")).alias("duplicates_removed"),
+    )
+    return loaded.select(
+        "*",
+        cleaned["watch_history"].agg(F.count("*").alias("n")).scalar().alias("watch_history_derived"),
+        score("events").alias("events_dq_score"),
+        score("users").alias("users_dq_score"),
     )
 
 
@@ -50,24 +78,25 @@ def run_batch(spark: SparkSession, raw: dict[str, DataFrame], root: str, mask_pi
     store = VersionedStore(spark, f"{root.rstrip('/')}/tables")
     version = store.new_version()
 
-    def load(name: str, df: DataFrame, by: str | None = None) -> DataFrame:
-        return store.write(version, name, df.drop(ORDINAL), by)
+    tables = {}
+
+    def load(name: str, df: DataFrame, by: str | None = None) -> None:
+        tables[name] = store.write(version, name, df.drop(ORDINAL), by)
 
     load("users", cleaning.clean_users(raw["users"], mask_pii))
-    content = load("content", cleaning.clean_content(raw["content"]))
+    load("content", cleaning.clean_content(raw["content"]))
     load("subscriptions", cleaning.clean_subscriptions(raw["subscriptions"]))
     cleaned = cleaning.clean_events(raw["events"])
-    dated = cleaned.withColumn("event_date", F.col("timestamp").cast("date"))
-    events = load("events", dated, by="event_date")
-    load("watch_history", watch_history(events, content))
+    load("events", cleaned.withColumn("event_date", F.col("timestamp").cast("date")), by="event_date")
+    load("watch_history", watch_history(tables["events"], tables["content"]))
     write_raw_documents(raw["events"], f"{root.rstrip('/')}/raw_documents")
     store.publish(version)
-    record_run(raw, f"{root.rstrip('/')}/runs")
+    record_run(raw, tables, f"{root.rstrip('/')}/runs")
     return version
 
 
-def record_run(raw: dict[str, DataFrame], path: str) -> None:
-    stamped = batch_metrics(raw).select(
+def record_run(raw: dict[str, DataFrame], tables: dict[str, DataFrame], path: str) -> None:
+    stamped = batch_metrics(raw, tables).select(
         F.lit(f"etl_run_{uuid.uuid4().hex[:12]}").alias("run_id"),
         F.current_timestamp().alias("finished_at"),
         F.lit("SUCCESS").alias("status"),

@@ -366,7 +366,8 @@ def _(spark, folder):
 
 @query("etl_batch")
 def _(spark, folder):
-    return batch.batch_metrics(Tables(spark, folder).raw())
+    raw = Tables(spark, folder).raw()
+    return batch.batch_metrics(raw, batch.clean_all(raw))
 
 
 def _one_mask(name: str, dataset: str, key: str, column: str, mask) -> None:
