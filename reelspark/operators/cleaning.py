@@ -25,13 +25,13 @@ _COPIES = "_copies"
 _KEPT = "_kept"
 
 
-def keep_first(df: DataFrame, key: str, copies: str | None = None) -> DataFrame:
+def keep_first(df: DataFrame, key: str, copies: str | None = None, order: str = ORDINAL) -> DataFrame:
     """The first row per key in ingest order; null keys count as one key.
 
     A partial ``min_by`` keeps one row per key and map task, so a key with very many
     copies is reduced before the shuffle and never sorted in one task.
     """
-    first = F.min_by(F.struct(*df.columns), F.col(ORDINAL)).alias("_first")
+    first = F.min_by(F.struct(*df.columns), F.col(order)).alias("_first")
     grouped = df.groupBy(F.col(key).alias("_key")).agg(first, F.count("*").alias("_n"))
     extra = [F.col("_n").alias(copies)] if copies else []
     return grouped.select("_first.*", *extra)

@@ -59,19 +59,16 @@ def sorted_positions(df: DataFrame, order: Sequence[Column], name: str) -> DataF
 
     A window without partitions would sort everything in one task. Here rows are
     range-partitioned and sorted in place; a position is the offset of the row's
-    partition plus its index inside it. The placed rows are checkpointed, because
-    the offsets and the rows must see one and the same partitioning even if an
-    executor is lost. The offsets table has one row per partition, hence the broadcast.
+    partition plus its index inside it. The placed rows are stored, because the
+    offsets and the rows must see one and the same partitioning even if an executor
+    is lost. The offsets table has one row per partition, hence the broadcast.
     ``order`` must tell all rows apart.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
+    placed = stored(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-        .withColumn("_part", F.shiftright("_slot", 33))
-    )
+    ).withColumn("_part", F.shiftright("_slot", 33))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_part")

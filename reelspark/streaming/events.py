@@ -123,6 +123,7 @@ def accepted_events(checked: DataFrame) -> DataFrame:
         .otherwise(to_timestamp(F.col("timestamp")))
         .alias("timestamp"),
         mask_ip(filled("ip_address")).alias("ip_address"),
+        "arrival",
     )
 
 
@@ -152,16 +153,18 @@ def route_batch(checked: DataFrame, batch_id: int, store: StreamStore) -> None:
     """Write one micro-batch: consumed log first, the other sinks from that log.
 
     Every sink owns a folder per batch and overwrites it, so a repeated batch leaves
-    the same files. Reading the log back keeps arrival times equal in all sinks.
+    the same files. Reading the log back keeps arrival time and order equal in all sinks.
     """
     spark = checked.sparkSession
     part = f"batch_id={batch_id}"
     logged = f"{store.at('consumed')}/{part}"
-    checked.withColumn("consumed_at", F.current_timestamp()).write.mode("overwrite").parquet(logged)
+    stamped = checked.withColumn("consumed_at", F.current_timestamp())
+    stamped = stamped.withColumn("arrival", F.monotonically_increasing_id())
+    stamped.write.mode("overwrite").parquet(logged)
     consumed = spark.read.parquet(logged)
     rejected = consumed.where("NOT is_valid")
     rejected.write.mode("overwrite").parquet(f"{store.at('rejected')}/{part}")
-    insert_ignore(accepted_events(consumed), store.at("events"), "event_id", batch_id)
+    insert_ignore(accepted_events(consumed), store.at("events"), "event_id", batch_id, "arrival")
     stream_documents(consumed).write.mode("overwrite").json(f"{store.at('raw_documents')}/{part}")
 
 

@@ -100,11 +100,11 @@ def test_insert_ignore_paths_agree(spark, tmp_path, monkeypatch):
     for limit in (1_000_000, 1):
         monkeypatch.setattr(sinks, "BROADCAST_ROWS", limit)
         path = str(tmp_path / f"events{limit}")
-        rows = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
-        sinks.insert_ignore(rows, path, "k", 0)
-        more = spark.createDataFrame([("b", 2), ("c", 2), ("c", 2)], "k string, v int")
-        sinks.insert_ignore(more, path, "k", 1)
-        sinks.insert_ignore(more, path, "k", 1)
+        rows = spark.createDataFrame([("a", 1, 0), ("b", 1, 1)], "k string, v int, at int")
+        sinks.insert_ignore(rows, path, "k", 0, "at")
+        more = spark.createDataFrame([("b", 2, 0), ("c", 3, 2), ("c", 2, 1)], "k string, v int, at int")
+        sinks.insert_ignore(more, path, "k", 1, "at")
+        sinks.insert_ignore(more, path, "k", 1, "at")
         got = sorted((r.k, r.v) for r in spark.read.parquet(path).collect())
         assert got == [("a", 1), ("b", 1), ("c", 2)]
 
