@@ -116,7 +116,8 @@ def check_drift(df: DataFrame, dataset: str) -> DataFrame:
         column_types(df)
         .select(found)
         .withColumn("severity", F.expr(severity))
-        .select(name, F.inline("_e"), "severity")
+        .select(name, F.inline_outer("_e"), "severity")
+        .where("column_name IS NOT NULL")
     )
 
 
