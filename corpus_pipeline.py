@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelspark.llm import mixing, packing, quality
+from reelspark.llm import jaccard, mixing, packing, pii, quality
 from reelspark.llm.common import table, written
 
 #: Learned rules, dependent rounding and a byte-pair vocabulary have no SQL form.
@@ -20,6 +20,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.reject(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    return jaccard.keep_one(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in texts gives way to its kind in brackets."""
+    return pii.redact(docs, pii.fit(docs))
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeat or go as the mix of their source asks."""
     return mixing.repeat_documents(docs)
@@ -32,6 +42,8 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_copies", near_copies),
+    ("personal_data", personal_data),
     ("mixture", mixture),
     ("sequences", sequences),
 ]

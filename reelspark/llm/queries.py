@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import jaccard, mixing, packing, quality, sharding, urls
+from reelspark.llm import jaccard, mixing, packing, pii, quality, sharding, urls
 from reelspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ def op1_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"))
 
 
+def op3_weak_supervision_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 def op4_token_group_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_copies(table(spark, folder, "documents"))
 
@@ -47,6 +52,7 @@ def op10_pivotal_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_extendible_sharding,
+        op3_weak_supervision_pii,
         op4_token_group_jaccard,
         op7_decision_list,
         op8_large_item_matching,
