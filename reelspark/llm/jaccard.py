@@ -42,8 +42,8 @@ from reelspark.operators.spread import lookup_join
 WIDTH = 5
 #: Similarity in percent.
 PERCENT = 75
-#: Entries of the count table: 8 MB, whatever the corpus.
-CELLS = 1 << 21
+#: Entries of the count table: 16 MB, whatever the corpus.
+CELLS = 1 << 23
 SEGMENTS = 32
 #: Hash functions of step 2.
 ROUNDS = 4
@@ -104,13 +104,19 @@ def token_counts(docs: DataFrame, width: int, cells: int = CELLS) -> np.ndarray:
     step = cells // SEGMENTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = _WordHashes(), np.zeros(cells, dtype=np.int64)
+        hashes, total = _WordHashes(), np.zeros(cells, dtype=np.int32)
         for batch in batches:
             sets = [shingle_set(t, hashes, width) for t in batch["text"].to_pylist()]
             if sets:
                 at = (np.concatenate(sets) & np.uint64(cells - 1)).astype(np.int64)
-                total += np.bincount(at, minlength=cells)
-        blobs = [zlib.compress(total[s * step : (s + 1) * step].tobytes(), 1) for s in range(SEGMENTS)]
+                at, times = np.unique(at, return_counts=True)
+                total[at] += times.astype(np.int32)
+        blobs = []
+        for s in range(SEGMENTS):
+            part = total[s * step : (s + 1) * step]
+            at = np.flatnonzero(part)
+            gaps = np.diff(at, prepend=0).astype("<u4")
+            blobs.append(zlib.compress(gaps.tobytes() + part[at].astype("<u4").tobytes(), 1))
         yield pa.RecordBatch.from_pydict({"segment": pa.array(range(SEGMENTS), pa.int32()), "counts": blobs})
 
     def add(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,15 +124,16 @@ def token_counts(docs: DataFrame, width: int, cells: int = CELLS) -> np.ndarray:
         for batch in rows:
             for s, blob in zip(batch["segment"].to_pylist(), batch["counts"].to_pylist()):
                 segment = s
-                total += np.frombuffer(zlib.decompress(blob), dtype=np.int64)
-        blob = np.minimum(total, 2**32 - 1).astype("<u4").tobytes()
+                gaps, times = np.frombuffer(zlib.decompress(blob), dtype="<u4").reshape(2, -1)
+                total[np.cumsum(gaps)] += times
+        blob = np.minimum(total, 2**16 - 1).astype("<u2").tobytes()
         yield pa.RecordBatch.from_pydict({"segment": pa.array([segment], pa.int32()), "counts": [blob]})
 
     schema = "segment int, counts binary"
     parts = _texts(docs).mapInArrow(count, schema).groupBy("segment").applyInArrow(add, schema).collect()
-    table = np.zeros(cells, dtype=np.uint32)
+    table = np.zeros(cells, dtype=np.uint16)
     for row in parts:
-        table[row["segment"] * step : (row["segment"] + 1) * step] = np.frombuffer(row["counts"], dtype="<u4")
+        table[row["segment"] * step : (row["segment"] + 1) * step] = np.frombuffer(row["counts"], dtype="<u2")
     return table
 
 
@@ -143,21 +150,23 @@ def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = _WordHashes(), table.value
         for batch in batches:
-            out = {"n": [], "node": [], "minima": [], "rare": [], "first": []}
+            out = {"n": [], "node": [], "minima": [], "rare": [], "first": [], "common": []}
             for text in batch["text"].to_pylist():
                 s = shingle_set(text, hashes, width)
                 n = len(s)
                 out["n"].append(n)
                 if not n:
-                    for name in ("node", "minima", "rare", "first"):
+                    for name in ("node", "minima", "rare", "first", "common"):
                         out[name].append(None)
                     continue
                 out["node"].append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63))
                 out["minima"].append([int(_scrambled(s ^ x).min().view(np.int64)) for x in seeds])
                 least, least_larger = _needed(n, percent)
                 matches = min(MATCHES, least)
-                order = np.lexsort((s, counts[(s & np.uint64(CELLS - 1)).astype(np.int64)]))
-                out["rare"].append(s[order[: n - least + matches]].tobytes())
+                seen = counts[(s & np.uint64(CELLS - 1)).astype(np.int64)]
+                rare = np.lexsort((s, seen))[: n - least + matches]
+                out["rare"].append(s[rare].tobytes())
+                out["common"].append(float(np.log(seen[rare].astype(float)).mean()))
                 out["first"].append(n - least_larger + matches)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -167,11 +176,12 @@ def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     pa.array(out["minima"], pa.list_(pa.int64())),
                     pa.array(out["rare"], pa.binary()),
                     pa.array(out["first"], pa.int32()),
+                    pa.array(out["common"], pa.float64()),
                 ],
-                names=["doc_id", "n", "node", "minima", "rare", "first"],
+                names=["doc_id", "n", "node", "minima", "rare", "first", "common"],
             )
 
-    schema = "doc_id long, n long, node long, minima array<long>, rare binary, first int"
+    schema = "doc_id long, n long, node long, minima array<long>, rare binary, first int, common double"
     return written(_texts(docs).mapInArrow(describe, schema), "shingles")
 
 
@@ -306,17 +316,24 @@ def links(docs: DataFrame, base: DataFrame, width: int, percent: int) -> tuple[D
     named = base.where("n > 0")
     nodes = written(
         named.groupBy("node").agg(
-            F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("minima").alias("minima")
+            F.min("doc_id").alias("rep"),
+            F.min("n").alias("n"),
+            F.min("minima").alias("minima"),
+            F.max("common").alias("common"),
         ),
         "nodes",
     )
-    # step 2: one comparison per node and hash function, with a node of about its size
+    # step 2: one comparison per node and hash function, with a node of about its size: the
+    # one whose rare tokens are the most common, since its copies have tokens of their own
     keys = nodes.select(
         "node",
+        "common",
         F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).alias("band"),
         F.posexplode("minima").alias("round", "least"),
     )
-    first = keys.groupBy("round", "least", "band").agg(F.min("node").alias("grp"), F.count("*").alias("_n")).where("_n > 1")
+    first = keys.groupBy("round", "least", "band").agg(
+        F.max_by("node", F.struct("common", "node")).alias("grp"), F.count("*").alias("_n")
+    ).where("_n > 1")
     pairs = lookup_join(keys, first, ["round", "least", "band"]).where("node <> grp").select("node", "grp").distinct()
     pairs = written(pairs, "pairs")
     leaders = pairs.select(F.col("grp").alias("node"), "grp").distinct()
