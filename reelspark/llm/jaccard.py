@@ -124,8 +124,10 @@ def token_counts(docs: DataFrame, width: int, cells: int = CELLS) -> np.ndarray:
         for batch in rows:
             for s, blob in zip(batch["segment"].to_pylist(), batch["counts"].to_pylist()):
                 segment = s
-                gaps, times = np.frombuffer(zlib.decompress(blob), dtype="<u4").reshape(2, -1)
-                total[np.cumsum(gaps)] += times
+                data = zlib.decompress(blob)
+                if data:
+                    gaps, times = np.frombuffer(data, dtype="<u4").reshape(2, -1)
+                    total[np.cumsum(gaps)] += times
         blob = np.minimum(total, 2**16 - 1).astype("<u2").tobytes()
         yield pa.RecordBatch.from_pydict({"segment": pa.array([segment], pa.int32()), "counts": [blob]})
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import jaccard, mixing, packing, pii, quality, sharding, urls
+from reelspark.llm import ann, jaccard, mixing, packing, pii, quality, sharding, suffix, urls
 from reelspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ def op1_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"))
 
 
+def op2_multiprobe_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = ann.usable(table(spark, folder, "embeddings"))
+    return ann.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op3_weak_supervision_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return pii.find(docs, pii.fit(docs))
@@ -26,6 +31,11 @@ def op4_token_group_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_copies(table(spark, folder, "documents"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = suffix.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_decision_list(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     rules = quality.fit(docs, table(spark, folder, "labels"))
@@ -52,8 +62,10 @@ def op10_pivotal_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_extendible_sharding,
+        op2_multiprobe_hashing,
         op3_weak_supervision_pii,
         op4_token_group_jaccard,
+        op6_suffix_array_dedup,
         op7_decision_list,
         op8_large_item_matching,
         op9_url_rules,
