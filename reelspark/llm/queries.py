@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import ann, jaccard, mixing, packing, pii, quality, sharding, suffix, urls
+from reelspark.llm import ann, jaccard, mixing, packing, pii, quality, sharding, suffix, trie, urls
 from reelspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op4_token_group_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_copies(table(spark, folder, "documents"))
 
 
+def op5_elias_fano_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.score(table(spark, folder, "documents"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = suffix.remove_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -65,6 +69,7 @@ def registered() -> dict[str, Query]:
         op2_multiprobe_hashing,
         op3_weak_supervision_pii,
         op4_token_group_jaccard,
+        op5_elias_fano_trie,
         op6_suffix_array_dedup,
         op7_decision_list,
         op8_large_item_matching,
