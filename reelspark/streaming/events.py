@@ -154,9 +154,13 @@ def route_batch(checked: DataFrame, batch_id: int, store: StreamStore) -> None:
 
     Every sink owns a folder per batch and overwrites it, so a repeated batch leaves
     the same files. Reading the log back keeps arrival time and order equal in all sinks.
+    Batch numbers restart with a new checkpoint, so a folder is named after the stream,
+    whose id its checkpoint keeps, and the number.
     """
     spark = checked.sparkSession
-    part = f"batch_id={batch_id}"
+    stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    batch = f"{stream}-{batch_id}" if stream else str(batch_id)
+    part = f"batch_id={batch}"
     logged = f"{store.at('consumed')}/{part}"
     stamped = checked.withColumn("consumed_at", F.current_timestamp())
     stamped = stamped.withColumn("arrival", F.monotonically_increasing_id())
@@ -164,7 +168,7 @@ def route_batch(checked: DataFrame, batch_id: int, store: StreamStore) -> None:
     consumed = spark.read.parquet(logged)
     rejected = consumed.where("NOT is_valid")
     rejected.write.mode("overwrite").parquet(f"{store.at('rejected')}/{part}")
-    insert_ignore(accepted_events(consumed), store.at("events"), "event_id", batch_id, "arrival")
+    insert_ignore(accepted_events(consumed), store.at("events"), "event_id", batch, "arrival")
     stream_documents(consumed).write.mode("overwrite").json(f"{store.at('raw_documents')}/{part}")
 
 

@@ -87,10 +87,22 @@ def test_routing_and_replay(spark, tmp_path):
 
     # A repeated batch after a failure leaves the same rows.
     lines = spark.read.text(str(incoming / "b.json"))
+    own = json.loads((tmp_path / "cp" / "metadata").read_text())["id"]
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", own)
     stream.route_batch(stream.validate(stream.parse_lines(lines)), 1, store)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
     assert spark.read.parquet(store.at("events")).count() == 3
     assert spark.read.parquet(store.at("consumed")).count() == 6
 
+    # A new checkpoint counts batches from 0 again; nothing stored goes, no id comes twice.
+    later = tmp_path / "later"
+    put(later, "c.json", [event(), event(event_id="E4")])
+    run(spark, later, store, tmp_path / "new-cp")
+    assert spark.read.parquet(store.at("consumed")).count() == 8
+    assert spark.read.parquet(store.at("rejected")).count() == 1
+    assert sorted(r.event_id for r in spark.read.parquet(store.at("events")).collect()) == ["E1", "E2", "E3", "E4"]
+    assert spark.read.json(store.at("raw_documents")).count() == 7
+
 
 def drain(df, name, mode):
     query = df.writeStream.format("memory").queryName(name).outputMode(mode).start()
