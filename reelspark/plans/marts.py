@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reelspark.functions.exprs import has_value, is_watch, ratio, round_even
 from reelspark.operators.spread import sorted_positions
+from reelspark.sources.sinks import VersionedStore, full_refresh
 
 
 def stg_events(events: DataFrame) -> DataFrame:
@@ -111,18 +112,18 @@ MART_VIEWS = ("stg_events", "stg_users")
 
 
 def materialize(events: DataFrame, users: DataFrame, root: str) -> dict[str, DataFrame]:
-    """Build the models in dependency order: staging as views, marts as tables under
-    ``root``. Views are replaced, marts rebuilt."""
+    """Build the models in dependency order: staging as views, marts as one new version
+    of the store at ``root``. A failed build leaves the published marts as they are."""
     spark = events.sparkSession
     stg_events(events).createOrReplaceTempView("stg_events")
     stg_users(users).createOrReplaceTempView("stg_users")
     models = {name: spark.table(name) for name in MART_VIEWS}
-    marts = {
-        "fact_user_activity": lambda: fact_user_activity(models["stg_users"], models["stg_events"]),
-        "analytics_daily_usage": lambda: analytics_daily_usage(models["stg_events"]),
-    }
-    for name, build in marts.items():
-        target = f"{root.rstrip('/')}/{name}"
-        build().write.mode("overwrite").parquet(target)
-        models[name] = spark.read.parquet(target)
-    return models
+    store = VersionedStore(spark, root)
+    version = full_refresh(
+        store,
+        {
+            "fact_user_activity": fact_user_activity(models["stg_users"], models["stg_events"]),
+            "analytics_daily_usage": analytics_daily_usage(models["stg_events"]),
+        },
+    )
+    return models | {name: store.read(name, version) for name in ("fact_user_activity", "analytics_daily_usage")}

@@ -145,6 +145,11 @@ def _money(c: Column) -> Column:
     return F.format_string("$%,.2f", c)
 
 
+def _second(*parts: Column) -> Column:
+    """The clause on the second row, empty where there is none."""
+    return F.coalesce(F.concat(*parts), F.lit(""))
+
+
 def narratives(
     users: DataFrame, content: DataFrame, events: DataFrame, subscriptions: DataFrame
 ) -> DataFrame:
@@ -158,8 +163,9 @@ def narratives(
             F.lit("**"), _field(0, "title"), F.lit("** leads the platform with **"),
             F.format_string("%,d", _field(0, "total_watch_mins")),
             F.lit(" total watch minutes** across "), _field(0, "total_sessions").cast("string"),
-            F.lit(" streaming sessions. Followed by *"), _field(1, "title"), F.lit("* ("),
-            _field(1, "total_watch_mins").cast("string"), F.lit(" mins)."),
+            F.lit(" streaming sessions."),
+            _second(F.lit(" Followed by *"), _field(1, "title"), F.lit("* ("),
+                    _field(1, "total_watch_mins").cast("string"), F.lit(" mins).")),
         ).alias("answer"),
     )
     active = _leaders(
@@ -180,8 +186,10 @@ def narratives(
             F.lit("The most frequent event type is **`"), _field(0, "event_type"), F.lit("`** with **"),
             _field(0, "event_count").cast("string"), F.lit(" occurrences** ("),
             _field(0, "percentage_share").cast("string"),
-            F.lit("% of all platform traffic), followed by `"), _field(1, "event_type"), F.lit("` ("),
-            _field(1, "event_count").cast("string"), F.lit(" events)."),
+            F.lit("% of all platform traffic)"),
+            _second(F.lit(", followed by `"), _field(1, "event_type"), F.lit("` ("),
+                    _field(1, "event_count").cast("string"), F.lit(" events)")),
+            F.lit("."),
         ).alias("answer"),
     )
     trend = _leaders(trending(content, events), [F.desc("total_interactions"), F.col("content_id")]).select(

@@ -2,13 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelspark.contracts import EXPECTED_TYPES, ORDINAL, raw_schema
+from reelspark.operators.spread import stored
 
 CORRUPT = "_corrupt_record"
+_BEYOND = T.StructField("beyond", T.StringType())
+
+# Texts that stand for a missing value in a CSV file.
+NULL_TOKENS = (
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+)
 
 
 def _with_ordinal(df: DataFrame) -> DataFrame:
@@ -22,39 +50,84 @@ def _with_ordinal(df: DataFrame) -> DataFrame:
     return df.select("*", place.alias(ORDINAL))
 
 
-def read_csv_raw(spark: SparkSession, path: str, dataset: str) -> DataFrame:
-    """A registered dataset with every contract column as text; lines that do not
-    fit are kept in ``_corrupt_record``."""
-    schema = T.StructType([*raw_schema(dataset).fields, T.StructField(CORRUPT, T.StringType())])
-    frame = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
+@dataclass(frozen=True)
+class Landed:
+    """A CSV dataset, parsed once and stored.
+
+    ``rows`` has the contract columns by name, null where the file lacks one;
+    ``arrived`` has the columns of the file's header, for the drift check; ``rejected``
+    has the text of records that are longer than the header or whose quotes are not
+    closed. Shorter records stay, with nulls at their end.
+    """
+
+    rows: DataFrame
+    arrived: DataFrame
+    rejected: DataFrame
+
+
+def _csv(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    options = {"header": True, "escape": '"', "multiLine": multi_line, "enforceSchema": False}
+    return spark.read.options(**options).option("columnNameOfCorruptRecord", CORRUPT)
+
+
+def land_csv(spark: SparkSession, path: str, dataset: str, multi_line: bool = True) -> Landed:
+    """Parse the files of a dataset by their header and store them with their order.
+
+    All files of a path need the same header; another one raises. With ``multi_line``
+    a quoted field may hold line breaks and one task reads a whole file; without it
+    large files are split, and records with a quoted line break are rejected.
+    """
+    header = _csv(spark, multi_line).csv(path).columns
+    if not header:
+        nothing = _with_no_rows(spark, dataset)
+        return Landed(nothing, nothing.select(ORDINAL), nothing.select(ORDINAL, F.lit("").alias("record")))
+    fields = [T.StructField(c, T.StringType()) for c in header]
+    parsed = _csv(spark, multi_line).schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])).csv(path)
+    names = [f"`{c.replace('`', '``')}`" for c in header]
+    tokens = [F.when(~F.col(c).isin(*NULL_TOKENS), F.col(c)).alias(h) for c, h in zip(names, header)]
+    parsed = stored(_with_ordinal(parsed).select(*tokens, CORRUPT, ORDINAL))
+    # only a record that does not fit the header has its text here
+    longer = T.StructType([*(T.StructField(f"c{i}", T.StringType()) for i in range(len(header))), _BEYOND])
+    beyond = F.from_csv(F.col(CORRUPT), longer.simpleString()[7:-1].replace(":", " "), {"escape": '"'})
+    quotes = F.length(CORRUPT) - F.length(F.replace(F.col(CORRUPT), F.lit('"')))
+    bad = F.col(CORRUPT).isNotNull() & (beyond[_BEYOND.name].isNotNull() | (quotes % 2 == 1))
+    fit = parsed.where(~bad)
+    wanted = [F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in EXPECTED_TYPES[dataset]]
+    return Landed(
+        fit.select(*wanted, ORDINAL),
+        fit.select(*names, ORDINAL),
+        parsed.where(bad).select(ORDINAL, F.col(CORRUPT).alias("record")),
     )
-    return _with_ordinal(frame).drop(CORRUPT)
 
 
-def read_csv_arrived(spark: SparkSession, path: str) -> DataFrame:
-    """Columns as the header names them, as text: the input of the drift check."""
-    return _with_ordinal(spark.read.option("header", True).csv(path))
+def _with_no_rows(spark: SparkSession, dataset: str) -> DataFrame:
+    place = T.StructType.fromDDL("file string, block bigint, row bigint")
+    return spark.createDataFrame([], raw_schema(dataset).add(ORDINAL, place))
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def load_datasets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def land_datasets(spark: SparkSession, folder: str, multi_line: bool = True) -> dict[str, Landed]:
     """The four standard datasets by name, from ``<folder>/<name>.csv``."""
     root = folder.rstrip("/")
-    return {name: read_csv_raw(spark, f"{root}/{name}.csv", name) for name in EXPECTED_TYPES}
+    return {name: land_csv(spark, f"{root}/{name}.csv", name, multi_line) for name in EXPECTED_TYPES}
+
+
+def load_datasets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The contract columns of the four standard datasets."""
+    return {name: landed.rows for name, landed in land_datasets(spark, folder).items()}
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Whole text files as documents named by their file."""
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    """Whole text files as documents named by their path below the folder that is read."""
+    plain = re.split(r"[*?\[{]", re.sub(r"^\w+:/*", "/", path))[0]
+    root = plain if plain == path.rstrip("/") else plain.rpartition("/")[0]
+    file = F.col("_metadata.file_path")
+    below = F.regexp_replace(F.substring_index(file, f"{root.rstrip('/')}/", -1), "^/", "")
     return (
         spark.read.text(path, wholetext=True)
-        .select(name.alias("doc_id"), F.col("value").alias("text"), name.alias("source"))
+        .select(below.alias("doc_id"), F.col("value").alias("text"))
+        .withColumn("source", F.col("doc_id"))
     )

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from reelspark.contracts import EXPECTED_TYPES, ORDINAL
@@ -50,7 +51,7 @@ def test_inferred_read_and_drift(spark, tmp_path):
     inferred = files.read_csv_inferred(spark, f"{folder}/content.csv")
     assert dict(inferred.dtypes)["release_year"] == "int"
     assert drift.check_drift(inferred, "content").count() == 0
-    arrived = files.read_csv_arrived(spark, f"{folder}/content.csv")
+    arrived = files.land_csv(spark, f"{folder}/content.csv", "content").arrived
     found = [(r.kind, r.column_name, r.actual) for r in drift.check_drift(arrived, "content").collect()]
     assert found == [("type_mismatch", "duration_mins", "float64")]
 
@@ -66,7 +67,8 @@ def test_batch_run_publishes_one_version(spark, tmp_path):
     assert history["U1"].completion_percentage == 63.0
     assert history["U2"].completion_percentage == 94.4 and history["U2"].completed
     assert store.read("subscriptions").first().monthly_price == 19.99
-    assert spark.read.json(f"{root}/raw_documents").count() == 4
+    assert spark.read.json(store.path(version, "raw_documents")).count() == 4
+    assert "duration_mins" in [r.column_name for r in store.read("drift_report").collect()]
     run = spark.read.json(f"{root}/runs").first()
     assert (run.total_extracted, run.events_loaded, run.watch_history_derived) == (11, 2, 2)
     assert batch.run_batch(spark, raw, root, mask_pii=True) == store.current() != version
@@ -129,3 +131,68 @@ def test_text_documents(spark, tmp_path):
     (tmp_path / "a.txt").write_text("line one\nline two")
     row = files.read_documents(spark, str(tmp_path / "*.txt")).first()
     assert (row.doc_id, row.text) == ("a.txt", "line one\nline two")
+
+
+def csv(folder, text, name="users"):
+    (folder / f"{name}.csv").write_text(text)
+    return f"{folder}/{name}.csv"
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    path = csv(tmp_path, "user_id,email,extra,name\nU1,ann@x.io,7,Ann\n")
+    landed = files.land_csv(spark, path, "users")
+    row = landed.rows.first()
+    assert (row.user_id, row.email, row.name, row.phone) == ("U1", "ann@x.io", "Ann", None)
+    found = {(r.kind, r.column_name) for r in drift.check_drift(landed.arrived, "users").collect()}
+    assert ("added", "extra") in found and ("missing", "phone") in found
+
+
+def test_csv_quotes_breaks_and_null_tokens(spark, tmp_path):
+    path = csv(tmp_path, 'user_id,name,email\n"U1","A ""x"", y",N/A\nU2,"two\nlines",null\nU3,NaN,""\n')
+    landed = files.land_csv(spark, path, "users")
+    got = [(r.user_id, r.name, r.email) for r in landed.rows.orderBy("user_id").collect()]
+    assert got == [("U1", 'A "x", y', None), ("U2", "two\nlines", None), ("U3", None, None)]
+    assert landed.rejected.count() == 0
+
+
+def test_csv_unfit_records_are_kept_apart(spark, tmp_path):
+    path = csv(tmp_path, "user_id,name,email\nU1,Ann,a@x.io,more\nU2,Bo\nU3,Cy,c@x.io\n")
+    landed = files.land_csv(spark, path, "users")
+    assert [r.record for r in landed.rejected.collect()] == ["U1,Ann,a@x.io,more"]
+    assert sorted((r.user_id, r.email) for r in landed.rows.collect()) == [("U2", None), ("U3", "c@x.io")]
+    split = files.land_csv(spark, csv(tmp_path, 'user_id,name\nU1,"two\nlines"\nU2,Bo\n', "lines"), "users", False)
+    assert split.rejected.count() >= 1
+
+
+def test_csv_empty_file_and_other_header(spark, tmp_path):
+    landed = files.land_csv(spark, csv(tmp_path, ""), "users")
+    assert landed.rows.count() == landed.rejected.count() == 0
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    csv(folder, "user_id,name\nU1,Ann\n", "a")
+    csv(folder, "name,user_id\nBo,U2\n", "b")
+    with pytest.raises(Exception):
+        files.land_csv(spark, str(folder), "users")
+
+
+def test_failed_run_is_logged_and_not_published(spark, tmp_path):
+    raw = files.load_datasets(spark, land(tmp_path))
+    root = str(tmp_path / "warehouse")
+    with pytest.raises(Exception):
+        batch.run_batch(spark, raw | {"events": raw["events"].drop("timestamp")}, root)
+    assert sinks.VersionedStore(spark, f"{root}/tables").current() is None
+    run = spark.read.json(f"{root}/runs").first()
+    assert run.status == "FAILED" and "timestamp" in run.error
+
+
+def test_unpublished_store_says_so(spark, tmp_path):
+    with pytest.raises(LookupError):
+        sinks.VersionedStore(spark, str(tmp_path / "none")).read("t")
+
+
+def test_equal_names_in_two_folders(spark, tmp_path):
+    for name in ("x", "y"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.txt").write_text(name)
+    got = files.read_documents(spark, str(tmp_path / "*" / "*.txt")).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [("x/a.txt", "x"), ("y/a.txt", "y")]
