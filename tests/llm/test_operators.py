@@ -351,3 +351,20 @@ def test_same_rows_as_sql(spark, name):
 
     ok, note = compare(spark, connect(FOLDER), queries.registered()[name], oracle.statements()[name], FOLDER)
     assert ok, note
+
+
+def test_repeats_with_a_full_table(spark, monkeypatch):
+    words = [f"w{i * 7919 % 613}" for i in range(400)]
+    texts = [" ".join(words[i * 11 : i * 11 + 60 + i % 5]) for i in range(30)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+
+    def found():
+        rows = suffix.remove_repeats(frame).orderBy("doc_id").collect()
+        return [(r["doc_id"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in rows]
+
+    wide = found()
+    monkeypatch.setattr(suffix, "TABLE_BITS", suffix.ROW_BITS)
+    full = b"\xff" * (suffix.ROW_BITS // 8)
+    monkeypatch.setattr(suffix, "_bit_table", lambda hashes: full)
+    monkeypatch.setattr(suffix, "BROADCAST_BYTES", -1)
+    assert found() == wide and any(n for _, n, _, _ in wide)
