@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +50,10 @@ def unused(df: DataFrame, name: str) -> str:
 def source_partitions(spark: SparkSession, rows_per_task: int, rows: int) -> int:
     """Partitions for a narrow shuffle of so many rows."""
     return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_task))
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what a task builds from one stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

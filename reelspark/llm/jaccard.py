@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspark.llm.common import text_of, written
+from reelspark.llm.common import sliced, text_of, written
 from reelspark.llm.graph import components
 from reelspark.operators.spread import lookup_join
 
@@ -51,6 +51,8 @@ ROUNDS = 4
 MATCHES = 2
 #: Members and queries that meet in one task at a time, on average.
 MEMBERS, QUERIES = 64, 256
+#: Word hashes that a task keeps at hand.
+WORDS = 1 << 17
 #: Rows up to which a narrow side of a join is broadcast; beyond, both sides shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -62,7 +64,7 @@ _FACTORS = np.array(
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= WORDS:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -105,7 +107,7 @@ def token_counts(docs: DataFrame, width: int, cells: int = CELLS) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, total = _WordHashes(), np.zeros(cells, dtype=np.int32)
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [shingle_set(t, hashes, width) for t in batch["text"].to_pylist()]
             if sets:
                 at = (np.concatenate(sets) & np.uint64(cells - 1)).astype(np.int64)
@@ -151,7 +153,7 @@ def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = _WordHashes(), table.value
-        for batch in batches:
+        for batch in sliced(batches):
             out = {"n": [], "node": [], "minima": [], "rare": [], "first": [], "common": []}
             for text in batch["text"].to_pylist():
                 s = shingle_set(text, hashes, width)
@@ -192,7 +194,7 @@ def rare_tokens(rows: DataFrame) -> DataFrame:
     with a blob of tokens."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             blobs = batch["rare"].to_pylist()
             lengths = np.array([len(b) // 8 for b in blobs], dtype=np.int64)
             place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -247,7 +249,7 @@ def open_groups(
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
-        for batch in batches:
+        for batch in sliced(batches):
             found = [shingle_set(t, hashes, width) for t in batch["text"].to_pylist()]
             # rows that share the id of the wanted document without its set drop out here
             same = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in found]
