@@ -368,3 +368,41 @@ def test_repeats_with_a_full_table(spark, monkeypatch):
     monkeypatch.setattr(suffix, "_bit_table", lambda hashes: full)
     monkeypatch.setattr(suffix, "BROADCAST_BYTES", -1)
     assert found() == wide and any(n for _, n, _, _ in wide)
+
+
+def test_language_model_holds_every_ngram(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    learnt = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2][:12]
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    rare = [f"w{i}" for i in range(9000)]
+    texts = {i: " ".join(rare[750 * k : 750 * k + 750]) for k, i in enumerate(learnt)}
+    passage = rare[8000:8200]
+    texts |= {held[0]: " ".join(passage), held[1]: " ".join(rng.permutation(passage).tolist())}
+    texts[learnt[0]] += " common common" * 3000
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+
+    grams = collections.Counter()
+    split = {i: ["", *t.split(), None] for i, t in texts.items()}
+    for i in learnt:
+        for n in (1, 2, 3):
+            grams.update(tuple(split[i][k : k + n]) for k in range(len(split[i]) - n + 1))
+    total = sum(c for g, c in grams.items() if len(g) == 1 and g != ("",))
+    kinds = sum(len(g) == 1 and g != ("",) for g in grams)
+
+    def plain(words):
+        out = 0.0
+        for k in range(1, len(words)):
+            p = (grams[(words[k],)] + 1) / (total + kinds + 1)
+            for n in range(2, min(k + 1, 3) + 1):
+                own = tuple(words[k - n + 1 : k + 1])
+                p = (grams[own] + trie.PRIOR * p) / (grams[own[:-1]] + trie.PRIOR)
+            out += math.log10(p)
+        return out
+
+    for size in (trie.CHUNK, 100):
+        monkeypatch.setattr(trie, "CHUNK", size)
+        got = {r["doc_id"]: r for r in trie.score(frame).collect()}
+        assert len(got) == len(texts) and all(math.isclose(got[i]["score"], plain(w), rel_tol=1e-9) for i, w in split.items())
+        assert math.isclose(got[held[0]]["base_score"], got[held[1]]["base_score"], rel_tol=1e-9)
+        # a passage of rare words that a training document has, against the same words in no order
+        assert got[held[0]]["score"] > got[held[1]]["score"] + len(passage)
