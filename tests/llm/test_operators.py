@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from reelspark.llm import ann, jaccard, mixing, packing, pii, quality, queries, sharding, suffix, trie, urls
 
@@ -406,3 +407,20 @@ def test_language_model_holds_every_ngram(spark, monkeypatch):
         assert math.isclose(got[held[0]]["base_score"], got[held[1]]["base_score"], rel_tol=1e-9)
         # a passage of rare words that a training document has, against the same words in no order
         assert got[held[0]]["score"] > got[held[1]]["score"] + len(passage)
+
+
+def nearest_of(frame, k=20):
+    vectors = ann.usable(frame)
+    out = collections.defaultdict(list)
+    for r in ann.search(vectors, vectors, k).orderBy("query_id", "rank").collect():
+        out[r["query_id"]].append(r["vec_id"])
+    return out
+
+
+def test_neighbours_of_every_query(spark):
+    table = read(spark, "embeddings").select("vec_id", "embedding").orderBy("vec_id")
+    few = table.limit(12)
+    assert all(len(found) == 11 for found in nearest_of(few).values())
+    long_ = F.when(F.col("vec_id") == 3, F.transform("embedding", lambda x: x * 100)).otherwise(F.col("embedding"))
+    uneven = nearest_of(table.limit(150).withColumn("embedding", long_))
+    assert len(uneven) == 150 and all(len(found) == 20 for found in uneven.values())
