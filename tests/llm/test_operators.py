@@ -424,3 +424,9 @@ def test_neighbours_of_every_query(spark):
     long_ = F.when(F.col("vec_id") == 3, F.transform("embedding", lambda x: x * 100)).otherwise(F.col("embedding"))
     uneven = nearest_of(table.limit(150).withColumn("embedding", long_))
     assert len(uneven) == 150 and all(len(found) == 20 for found in uneven.values())
+
+
+def test_neighbours_without_repeated_rows(spark):
+    rows = [(1, [1.0, 0.0])] * 30 + [(i, [1.0, 0.0]) for i in range(2, 6)] + [(i, [0.0, 1.0]) for i in range(6, 40)]
+    found = nearest_of(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), 4)
+    assert found[1] == [2, 3, 4, 5] and found[2] == [1, 3, 4, 5]
