@@ -5,9 +5,11 @@ import hashlib
 import math
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -430,3 +432,37 @@ def test_neighbours_without_repeated_rows(spark):
     rows = [(1, [1.0, 0.0])] * 30 + [(i, [1.0, 0.0]) for i in range(2, 6)] + [(i, [0.0, 1.0]) for i in range(6, 40)]
     found = nearest_of(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), 4)
     assert found[1] == [2, 3, 4, 5] and found[2] == [1, 3, 4, 5]
+
+
+def test_repeats_of_a_hot_anchor(spark, monkeypatch, tmp_path):
+    rng = np.random.default_rng(6)
+
+    def noise(size):
+        return "".join(rng.choice(list("abcdefghij klmno"), size))
+
+    # a phrase that windows choose as their anchor, between many different surroundings
+    phrases = [noise(20) for _ in range(4000)]
+    phrase = min(phrases, key=lambda p: int(suffix.anchors(p.encode(), 20)[0].view(np.uint64)[0]))
+    left, right = [noise(32) for _ in range(20)], [noise(32) for _ in range(20)]
+    rows = [(i, noise(40) + left[i % 20] + phrase + right[i // 20] + noise(40)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sort = suffix._sorted_shard
+
+    def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = list(batches)
+        with open(tmp_path / "sizes", "a") as out:
+            out.write(f"{sum(b.num_rows for b in batches)}\n")
+        yield from sort(iter(batches))
+
+    monkeypatch.setattr(suffix, "_sorted_shard", counting)
+    monkeypatch.setattr(suffix, "SHARD_ROWS", 50)
+    want = brute_removed(rows)
+    assert sum(gone * n for (_, _, gone, _, _), n in want.items())
+    for bound in (25, 5):
+        monkeypatch.setattr(suffix, "HOT", bound, raising=False)
+        got = collections.Counter(
+            (r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"]))
+            for r in suffix.remove_repeats(frame).collect()
+        )
+        assert got == want
+        assert max(map(int, (tmp_path / "sizes").read_text().split())) <= 200
