@@ -43,6 +43,69 @@ FROM p LEFT JOIN LATERAL (
 ) best ON true
 """
 
+OP11 = """
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents
+),
+o AS (SELECT i, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM o GROUP BY 1, 2 HAVING count(DISTINCT i) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS n FROM kept GROUP BY 1),
+groups AS (SELECT DISTINCT lang, source FROM d),
+seen AS (SELECT lang, source, term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+totals AS (SELECT lang, source, sum(n) AS n FROM seen GROUP BY 1, 2),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(s.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(s.n, 0) + 2)) // (coalesce(t.n, 0) + 2 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (k.lang_n + 2)) // (l.n + 2 * l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+  LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN seen s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term
+),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3
+),
+parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source AND s.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM parts
+QUALIFY part = 'pair' OR rank <= 10
+"""
+
+OP12 = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS i, vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+),
+f AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len(x) > 0
+    AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0
+),
+links AS (
+  SELECT a.i, a.vec_id AS a, b.vec_id AS b FROM f a JOIN f b
+  ON a.label = b.label AND a.i <> b.i AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.93
+),
+reached(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reached GROUP BY 1),
+counted AS (SELECT i, count(*) AS n FROM links GROUP BY 1)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, coalesce(least(l.b, v.vec_id), v.vec_id) AS component_id,
+       v.vec_id = coalesce(least(l.b, v.vec_id), v.vec_id) AS kept
+FROM v LEFT JOIN counted c USING (i) LEFT JOIN least l ON l.a = v.vec_id
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op1_extendible_sharding": OP1, "op9_url_rules": OP9}
+    return {
+        "op1_extendible_sharding": OP1,
+        "op9_url_rules": OP9,
+        "op11_divergence_quadtree": OP11,
+        "op12_metric_range_join": OP12,
+    }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import ann, jaccard, mixing, packing, pii, quality, sharding, suffix, trie, urls
+from reelspark.llm import (
+    ann,
+    divergence,
+    jaccard,
+    metric,
+    mixing,
+    packing,
+    pii,
+    quality,
+    sharding,
+    suffix,
+    trie,
+    urls,
+    whitening,
+)
 from reelspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +77,18 @@ def op10_pivotal_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op11_divergence_quadtree(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
+def op12_metric_range_join(spark: SparkSession, folder: str) -> DataFrame:
+    return metric.near_copies(table(spark, folder, "embeddings"))
+
+
+def op13_refined_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_extendible_sharding,
@@ -75,4 +101,7 @@ def registered() -> dict[str, Query]:
         op8_large_item_matching,
         op9_url_rules,
         op10_pivotal_mixing,
+        op11_divergence_quadtree,
+        op12_metric_range_join,
+        op13_refined_whitening,
     )}
