@@ -16,7 +16,10 @@ from pyspark.sql import types as T
 from reelspark.contracts import KEYS, ORDINAL
 from reelspark.operators import anomaly, churn, cleaning, constraints, drift, masking, quality
 from reelspark.operators import recommend, retrieval
+from reelspark.operators.search_index import SearchIndex
+from reelspark.operators.spread import stored
 from reelspark.plans import analytics, batch, marts, reports
+from reelspark.session import ensure_checkpoint_dir
 from reelspark.sources import roles, sinks
 from reelspark.streaming import events as stream
 
@@ -520,27 +523,37 @@ def _(spark, folder):
     )
 
 
-@query("tfidf_index")
-def _(spark, folder):
-    index = retrieval.tfidf_index(retrieval.build_corpus(Tables(spark, folder).documents))
-    return index.withColumn("weight", F.round("weight", 6))
+def _index(spark, folder) -> SearchIndex:
+    """The index of the folder's documents, built once and opened by every later call.
+    Its place names the state of the files, so that changed files get an index anew."""
+    files = roles.table(spark, folder, "documents").select(
+        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
+    )
+    state = files.distinct().agg(F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first()[0]
+    ensure_checkpoint_dir(spark)
+    root = f"{spark.sparkContext.getCheckpointDir()}/index-{state}"
+    try:
+        return SearchIndex.open(spark, root)
+    except LookupError:
+        return SearchIndex.build(Tables(spark, folder).documents, root)
 
 
-def _hits(spark, folder) -> DataFrame:
-    t = Tables(spark, folder)
-    corpus = retrieval.build_corpus(t.documents)
-    return retrieval.tfidf_search(t.search_queries, corpus, retrieval.tfidf_index(corpus))
+@query("tfidf_index")
+def _(spark, folder):
+    postings = _index(spark, folder).postings()
+    return postings.select("term", "chunk_id", "tf", F.round("weight", 6).alias("weight"))
 
 
 @query("tfidf_search")
 def _(spark, folder):
-    return _hits(spark, folder)
+    return _index(spark, folder).search(Tables(spark, folder).search_queries)
 
 
 @query("rag_answer")
 def _(spark, folder):
-    queries = Tables(spark, folder).search_queries
-    return retrieval.answers(queries, _hits(spark, folder), _chunks(spark, folder))
+    t, index = Tables(spark, folder), _index(spark, folder)
+    hits = stored(index.search(t.search_queries))
+    return retrieval.answers(t.search_queries, hits, index.quotes(hits, t.documents))
 
 
 @query("doc_inventory")

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelspark.contracts import EXPECTED_TYPES, ORDINAL, raw_schema
-from reelspark.operators.spread import stored
+from reelspark.operators.spread import lookup_join, stored
+from reelspark.sources import csv_records
 
-CORRUPT = "_corrupt_record"
-_BEYOND = T.StructField("beyond", T.StringType())
+_BEYOND, _LONGER = "beyond", "_longer"
 
 # Texts that stand for a missing value in a CSV file.
 NULL_TOKENS = (
@@ -39,25 +41,15 @@ NULL_TOKENS = (
 )
 
 
-def _with_ordinal(df: DataFrame) -> DataFrame:
-    """Add the row's place: file, block, row. Rows of a block keep their order, and
-    blocks and files are told apart by position, whatever order they are read in."""
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    return df.select("*", place.alias(ORDINAL))
-
-
 @dataclass(frozen=True)
 class Landed:
     """A CSV dataset, parsed once and stored.
 
     ``rows`` has the contract columns by name, null where the file lacks one;
-    ``arrived`` has the columns of the file's header, for the drift check; ``rejected``
-    has the text of records that are longer than the header or whose quotes are not
-    closed. Shorter records stay, with nulls at their end.
+    ``arrived`` has the columns of the file's header, for the drift check, a repeated
+    name with the number of its repetition; ``rejected`` has the text of records that
+    are longer than the header and of lines whose quotes are not closed. Shorter
+    records stay, with nulls at their end.
     """
 
     rows: DataFrame
@@ -65,39 +57,63 @@ class Landed:
     rejected: DataFrame
 
 
-def _csv(spark: SparkSession, multi_line: bool) -> DataFrameReader:
-    options = {"header": True, "escape": '"', "multiLine": multi_line, "enforceSchema": False}
-    return spark.read.options(**options).option("columnNameOfCorruptRecord", CORRUPT)
+def header_names(record: str) -> list[str]:
+    """The column names of a header record, told apart without regard to case."""
+    found, seen = next(csv.reader(io.StringIO(record)), []), set()
+    names = []
+    for place, name in enumerate(found):
+        name = own = name.strip() or f"Unnamed: {place}"
+        again = 0
+        while own.lower() in seen:
+            again += 1
+            own = f"{name}.{again}"
+        seen.add(own.lower())
+        names.append(own)
+    return names
+
+
+def _parsed(spark: SparkSession, path: str, multi_line: bool) -> tuple[DataFrame | None, DataFrame]:
+    """The records that fit the header, under its names and with their place (None
+    without a header), and the rejected ones."""
+    lines = csv_records.read_lines(spark, path)
+    if multi_line:
+        records, faults = csv_records.cut(lines)
+    else:
+        odd = F.regexp_count("value", F.lit('"')) % 2 == 1
+        records, faults = lines.where(~odd), lines.where(odd)
+    records = records.where(F.length("value") > 0)
+    first = records.groupBy(F.col(f"{ORDINAL}.file")).agg(F.min_by("value", ORDINAL).alias("value"), F.min(ORDINAL).alias("at"))
+    headers = [r[0] for r in first.select("value").distinct().limit(2).collect()]
+    faults = faults.select(ORDINAL, F.col("value").alias("record"))
+    if not headers:
+        return None, faults
+    if len(headers) > 1:
+        raise ValueError(f"files of {path} differ in their header: {headers}")
+    header = header_names(headers[0])
+    places = [f"c{i}" for i in range(len(header))]
+    fields = ", ".join(f"{c} string" for c in [*places, _BEYOND])
+    body = lookup_join(records, first.select(F.col("at").alias(ORDINAL)), [ORDINAL], "left_anti")
+    parsed = stored(body.select(ORDINAL, "value", F.from_csv("value", F.lit(fields), {"escape": '"'}).alias("_r")).select(
+        ORDINAL, F.when(F.col(f"_r.{_BEYOND}").isNotNull(), F.col("value")).alias(_LONGER), *(F.col(f"_r.{c}") for c in places)
+    ))
+    named = (F.when(~F.col(c).isin(*NULL_TOKENS), F.col(c)).alias(h) for h, c in zip(header, places))
+    longer = parsed.where(F.col(_LONGER).isNotNull()).select(ORDINAL, F.col(_LONGER).alias("record"))
+    return parsed.where(F.col(_LONGER).isNull()).select(*named, ORDINAL), longer.union(faults)
 
 
 def land_csv(spark: SparkSession, path: str, dataset: str, multi_line: bool = True) -> Landed:
     """Parse the files of a dataset by their header and store them with their order.
 
-    All files of a path need the same header; another one raises. With ``multi_line``
-    a quoted field may hold line breaks and one task reads a whole file; without it
-    large files are split, and records with a quoted line break are rejected.
+    All files of a path need the same header; another one raises. Large files are read
+    by many tasks. With ``multi_line`` a quoted field may hold line breaks; without it
+    every line with an odd number of quotes is rejected.
     """
-    header = _csv(spark, multi_line).csv(path).columns
-    if not header:
+    fit, rejected = _parsed(spark, path, multi_line)
+    if fit is None:
         nothing = _with_no_rows(spark, dataset)
-        return Landed(nothing, nothing.select(ORDINAL), nothing.select(ORDINAL, F.lit("").alias("record")))
-    fields = [T.StructField(c, T.StringType()) for c in header]
-    parsed = _csv(spark, multi_line).schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])).csv(path)
-    names = [f"`{c.replace('`', '``')}`" for c in header]
-    tokens = [F.when(~F.col(c).isin(*NULL_TOKENS), F.col(c)).alias(h) for c, h in zip(names, header)]
-    parsed = stored(_with_ordinal(parsed).select(*tokens, CORRUPT, ORDINAL))
-    # only a record that does not fit the header has its text here
-    longer = T.StructType([*(T.StructField(f"c{i}", T.StringType()) for i in range(len(header))), _BEYOND])
-    beyond = F.from_csv(F.col(CORRUPT), longer.simpleString()[7:-1].replace(":", " "), {"escape": '"'})
-    quotes = F.length(CORRUPT) - F.length(F.replace(F.col(CORRUPT), F.lit('"')))
-    bad = F.col(CORRUPT).isNotNull() & (beyond[_BEYOND.name].isNotNull() | (quotes % 2 == 1))
-    fit = parsed.where(~bad)
-    wanted = [F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in EXPECTED_TYPES[dataset]]
-    return Landed(
-        fit.select(*wanted, ORDINAL),
-        fit.select(*names, ORDINAL),
-        parsed.where(bad).select(ORDINAL, F.col(CORRUPT).alias("record")),
-    )
+        return Landed(nothing, nothing.select(ORDINAL), rejected)
+    wanted = [F.col(c) if c in fit.columns else F.lit(None).cast("string").alias(c) for c in EXPECTED_TYPES[dataset]]
+    return Landed(fit.select(*wanted, ORDINAL), fit, rejected)
 
 
 def _with_no_rows(spark: SparkSession, dataset: str) -> DataFrame:
@@ -105,8 +121,33 @@ def _with_no_rows(spark: SparkSession, dataset: str) -> DataFrame:
     return spark.createDataFrame([], raw_schema(dataset).add(ORDINAL, place))
 
 
+#: Types that a column of text is tried for, narrowest first.
+INFERRED = ("int", "bigint", "double", "boolean", "date", "timestamp_ntz")
+
+
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    """The records of CSV files, quoted and with missing values as ``land_csv`` reads
+    them, each column with the narrowest type that all its values have. Dates are
+    ``yyyy-MM-dd`` and nothing else, as a cast would also take a year alone."""
+    fit, _ = _parsed(spark, path, True)
+    if fit is None:
+        raise ValueError(f"{path} has no header")
+    fit = fit.drop(ORDINAL)
+    names = [f"`{c.replace('`', '``')}`" for c in fit.columns]
+    shape = {"date": r"^\d{4}-\d\d-\d\d$", "timestamp_ntz": r"^\d{4}-\d\d-\d\d[ T]\d\d:\d\d"}
+
+    def holds(name: str, kind: str):
+        good = F.col(name).try_cast(kind).isNotNull()
+        return good & F.col(name).rlike(shape[kind]) if kind in shape else good
+
+    tests = [F.count_if(F.col(n).isNotNull() & ~holds(n, k)) for n in names for k in INFERRED]
+    faults = list(fit.agg(*(t.alias(f"t{i}") for i, t in enumerate(tests)), *(F.count(n) for n in names)).first())
+    out = []
+    for i, (name, title) in enumerate(zip(names, fit.columns)):
+        own = faults[i * len(INFERRED) : (i + 1) * len(INFERRED)]
+        kinds = [k for k, n in zip(INFERRED, own) if n == 0] if faults[len(tests) + i] else []
+        out.append(F.col(name).cast(kinds[0] if kinds else "string").alias(title))
+    return fit.select(*out)
 
 
 def land_datasets(spark: SparkSession, folder: str, multi_line: bool = True) -> dict[str, Landed]:

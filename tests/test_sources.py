@@ -1,10 +1,14 @@
+import csv as csv_module
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from reelspark.contracts import EXPECTED_TYPES, ORDINAL
 from reelspark.operators import cleaning, drift
 from reelspark.plans import batch, marts
-from reelspark.sources import files, sinks
+from reelspark.sources import csv_records, files, sinks
 
 USERS = """user_id,name,email,phone,country,registration_date,tier,status
 U1,Ann Lee,ann@x.io,+1-555-0100,USA,2024-01-10,Premium,active
@@ -196,3 +200,81 @@ def test_equal_names_in_two_folders(spark, tmp_path):
         (tmp_path / name / "a.txt").write_text(name)
     got = files.read_documents(spark, str(tmp_path / "*" / "*.txt")).collect()
     assert sorted((r.doc_id, r.text) for r in got) == [("x/a.txt", "x"), ("y/a.txt", "y")]
+
+
+@pytest.fixture
+def small_ranges(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {n: spark.conf.get(n) for n in names}
+    for name, value in zip(names, ("300b", "1")):
+        spark.conf.set(name, value)
+    yield
+    for name, value in old.items():
+        spark.conf.set(name, value)
+
+
+def random_table(seed, n):
+    choose = random.Random(seed)
+    pieces = ["a", " ", ",", '"', "\n", "\n\n", "é", "x" * 40, '""', "\n,", ',"', '5" pipe']
+    return [["U%d" % i, "".join(choose.choices(pieces, k=choose.randrange(9))), "m%d" % i] for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", (1, 2, 3))
+def test_quoted_breaks_across_byte_ranges(spark, tmp_path, small_ranges, seed):
+    """Many byte ranges, quoted breaks over several of them: the rows of the csv module."""
+    rows = random_table(seed, 120)
+    out = io.StringIO()
+    csv_module.writer(out, lineterminator="\n").writerows([["user_id", "name", "email"], *rows])
+    path = csv(tmp_path, out.getvalue() + 'U900,unquoted 5" pipe,z\n')
+    lines = csv_records.read_lines(spark, path)
+    assert lines.select(F.col(f"{ORDINAL}.block")).distinct().count() > 8
+    landed = files.land_csv(spark, path, "users")
+    got = {r.user_id: (r.name, r.email) for r in landed.arrived.collect()}
+    plain = lambda s: None if s in files.NULL_TOKENS else s
+    assert got == {u: (plain(n), m) for u, n, m in rows} | {"U900": ('unquoted 5" pipe', "z")}
+    assert landed.rejected.count() == 0
+    ordered = [r.user_id for r in landed.rows.orderBy(ORDINAL).collect()]
+    assert ordered == [r[0] for r in rows] + ["U900"]
+
+
+def test_open_quotes_are_rejected_not_swallowed(spark, tmp_path, small_ranges):
+    text = 'user_id,name,email\nU1,"a\nU2,Bo,b@x.io\nU3,"two\nlines",c@x.io\nU4,"Di",d@x.io\n'
+    text += 'U5,"e\nU6,"f\nU7,"g\nU8,Hal,h@x.io\n' + "".join(f"V{i},n,e\n" for i in range(80)) + 'U9,"end\n'
+    landed = files.land_csv(spark, csv(tmp_path, text), "users")
+    assert sorted(r.record for r in landed.rejected.collect()) == ['U1,"a', 'U5,"e', 'U6,"f', 'U7,"g', 'U9,"end']
+    got = {r.user_id: r.name for r in landed.rows.collect()}
+    want = {"U2": "Bo", "U3": "two\nlines", "U4": "Di", "U8": "Hal"} | {f"V{i}": "n" for i in range(80)}
+    assert got == want
+
+
+def test_one_faulty_file_leaves_the_others(spark, tmp_path):
+    folder = tmp_path / "both"
+    folder.mkdir()
+    csv(folder, 'user_id,name\nU1,"x\ny"\n', "a")
+    csv(folder, 'user_id,name\nU2,"x\nU3,z\n', "b")
+    landed = files.land_csv(spark, str(folder), "users")
+    assert {(r.user_id, r.name) for r in landed.rows.collect()} == {("U1", "x\ny"), ("U3", "z")}
+    assert [r.record for r in landed.rejected.collect()] == ['U2,"x']
+
+
+def test_lines_with_odd_quotes_are_rejected_without_multi_line(spark, tmp_path):
+    landed = files.land_csv(spark, csv(tmp_path, 'user_id,name\nU1,"a\nb"\nU2,"Bo"\n'), "users", False)
+    assert [(r.user_id, r.name) for r in landed.rows.collect()] == [("U2", "Bo")]
+    assert sorted(r.record for r in landed.rejected.collect()) == ['U1,"a', 'b"']
+
+
+def test_repeated_and_odd_header_names(spark, tmp_path):
+    path = csv(tmp_path, "user_id,name,Name,_corrupt_record,,user_id\nU1,Ann,Bo,c,d,e\n")
+    landed = files.land_csv(spark, path, "users")
+    assert landed.arrived.columns[:-1] == ["user_id", "name", "Name.1", "_corrupt_record", "Unnamed: 4", "user_id.1"]
+    row = landed.rows.first()
+    assert (row.user_id, row.name) == ("U1", "Ann")
+    found = {(r.kind, r.column_name) for r in drift.check_drift(landed.arrived, "users").collect()}
+    assert {("added", "Name.1"), ("added", "user_id.1"), ("added", "_corrupt_record")} <= found
+
+
+def test_inferred_types_share_quoting_and_null_tokens(spark, tmp_path):
+    path = csv(tmp_path, 'i,l,d,b,day,at,t,none\n1,3000000000,1.5,true,2024-01-02,2024-01-02 03:04:05,"x\ny",NA\nN/A,2,2,,,,7,\n')
+    df = files.read_csv_inferred(spark, path)
+    assert [t for _, t in df.dtypes] == ["int", "bigint", "double", "boolean", "date", "timestamp_ntz", "string", "string"]
+    assert sorted(str(r.t) for r in df.collect()) == ["7", "x\ny"]
