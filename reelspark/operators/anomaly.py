@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelspark.functions.exprs import is_watch, ratio, round_even
-from reelspark.operators.spread import top_per_key
+from reelspark.operators.spread import stored, top_per_key
 
 # Thresholds of the four rules.
 MAX_ADDRESSES = 2
@@ -41,19 +41,32 @@ def _said(template: str, *columns: str) -> Column:
     return F.format_string(template, *(F.col(c).cast("string") for c in columns))
 
 
+def _activity(events: DataFrame, ordinal: str) -> DataFrame:
+    """Events counted per user, address and device: all that the rules on users and on
+    friction need, in one pass with a partial aggregation."""
+    return events.groupBy("user_id", "ip_address", "device").agg(
+        F.min(ordinal).alias("_at"),
+        F.count("*").alias("_events"),
+        F.count("event_type").alias("_typed"),
+        F.count_if(F.col("event_type").isin("buffering", "error")).alias("_friction"),
+        F.count_if(F.col("event_type") == "search").alias("_searches"),
+        F.count_if(is_watch()).alias("_plays"),
+    )
+
+
 def multi_ip(events: DataFrame, ordinal: str = "event_id") -> DataFrame:
     """Users with more than two distinct addresses, with their first three devices."""
+    return _multi_ip(_activity(events, ordinal))
+
+
+def _multi_ip(activity: DataFrame) -> DataFrame:
+    known = activity.where("user_id IS NOT NULL")
     many = (
-        events.where("user_id IS NOT NULL")
-        .groupBy("user_id")
+        known.groupBy("user_id")
         .agg(F.countDistinct("ip_address").alias("n_ips"))
         .where(F.col("n_ips") > MAX_ADDRESSES)
     )
-    seen = (
-        events.where("user_id IS NOT NULL AND device IS NOT NULL")
-        .groupBy("user_id", "device")
-        .agg(F.min(ordinal).alias("_at"))
-    )
+    seen = known.where("device IS NOT NULL").groupBy("user_id", "device").agg(F.min("_at").alias("_at"))
     packed = F.sort_array(F.collect_list(F.struct("_place", "device")))
     devices = (
         top_per_key(seen, "user_id", [F.col("_at")], 3, "_place")
@@ -83,9 +96,14 @@ def multi_ip(events: DataFrame, ordinal: str = "event_id") -> DataFrame:
 
 def friction_ratio(events: DataFrame) -> DataFrame:
     """One row when buffering and error events exceed a tenth of all typed events."""
-    share = ratio(F.count_if(F.col("event_type").isin("buffering", "error")), F.count("event_type"))
+    trouble = F.col("event_type").isin("buffering", "error")
+    return _friction(events.agg(F.count_if(trouble).alias("_friction"), F.count("event_type").alias("_typed")))
+
+
+def _friction(counted: DataFrame) -> DataFrame:
+    share = ratio(F.sum("_friction"), F.sum("_typed"))
     return (
-        events.agg(share.alias("_share"))
+        counted.agg(share.alias("_share"))
         .where(F.col("_share") > MAX_FRICTION)
         .withColumn("_percent", round_even(F.col("_share") * 100, 1))
         .select(
@@ -125,13 +143,17 @@ def long_sessions(events: DataFrame) -> DataFrame:
 
 def scrapers(events: DataFrame) -> DataFrame:
     """Users who search at least five times and never play."""
+    counted = events.groupBy("user_id").agg(
+        F.count_if(F.col("event_type") == "search").alias("_searches"), F.count_if(is_watch()).alias("_plays")
+    )
+    return _scrapers(counted)
+
+
+def _scrapers(counted: DataFrame) -> DataFrame:
     return (
-        events.where("user_id IS NOT NULL")
+        counted.where("user_id IS NOT NULL")
         .groupBy("user_id")
-        .agg(
-            F.count_if(F.col("event_type") == "search").alias("searches"),
-            F.count_if(is_watch()).alias("_plays"),
-        )
+        .agg(F.sum("_searches").alias("searches"), F.sum("_plays").alias("_plays"))
         .where((F.col("searches") >= MIN_SEARCHES) & (F.col("_plays") == 0))
         .select(
             *_row(
@@ -150,19 +172,19 @@ def scrapers(events: DataFrame) -> DataFrame:
     )
 
 
-def _findings(events: DataFrame, ordinal: str) -> DataFrame:
-    return reduce(
-        DataFrame.unionByName,
-        [multi_ip(events, ordinal), friction_ratio(events), long_sessions(events), scrapers(events)],
-    )
+def _findings(events: DataFrame, activity: DataFrame) -> DataFrame:
+    found = [_multi_ip(activity), _friction(activity), long_sessions(events), _scrapers(activity)]
+    return reduce(DataFrame.unionByName, found)
 
 
 def all_anomalies(events: DataFrame, ordinal: str = "event_id") -> DataFrame:
-    """Every finding; one health row when events exist and no rule fired."""
-    found = _findings(events, ordinal)
+    """Every finding; one health row when events exist and no rule fired. Events are
+    read twice: once for the stored activity, once for long sessions."""
+    activity = stored(_activity(events, ordinal))
+    found = stored(_findings(events, activity))
     total = found.agg(F.count("*").alias("n")).scalar()
     healthy = (
-        events.agg(F.count("*").alias("_events"))
+        activity.agg(F.coalesce(F.sum("_events"), F.lit(0)).alias("_events"))
         .where((F.col("_events") > 0) & (total == 0))
         .select(
             *_row(
@@ -188,7 +210,7 @@ def anomaly_summary(events: DataFrame, ordinal: str = "event_id") -> DataFrame:
     def at(*levels: str) -> Column:
         return F.count_if(F.col("severity").isin(*levels))
 
-    return _findings(events, ordinal).agg(
+    return _findings(events, stored(_activity(events, ordinal))).agg(
         F.count("*").alias("total_anomalies"),
         at("CRITICAL").alias("critical_count"),
         at("HIGH", "WARNING").alias("warning_count"),

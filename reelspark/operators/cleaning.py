@@ -20,6 +20,7 @@ from reelspark.functions.exprs import (
 )
 from reelspark.operators.masking import mask_table
 from reelspark.operators.quality import accepted
+from reelspark.operators.spread import few_join, stored
 
 _COPIES = "_copies"
 _KEPT = "_kept"
@@ -28,13 +29,17 @@ _KEPT = "_kept"
 def keep_first(df: DataFrame, key: str, copies: str | None = None, order: str = ORDINAL) -> DataFrame:
     """The first row per key in ingest order; null keys count as one key.
 
-    A partial ``min_by`` keeps one row per key and map task, so a key with very many
-    copies is reduced before the shuffle and never sorted in one task.
+    ``order`` is a whole number that tells all rows apart, so that only (key, count,
+    least number) are aggregated, by hashing and with a partial step. The keys that
+    occur more than once are few, as a rule; they are stored, and a row stays unless
+    its key is among them with a smaller number. Where those keys are measured small
+    the rows are not shuffled at all.
     """
-    first = F.min_by(F.struct(*df.columns), F.col(order)).alias("_first")
-    grouped = df.groupBy(F.col(key).alias("_key")).agg(first, F.count("*").alias("_n"))
-    extra = [F.col("_n").alias(copies)] if copies else []
-    return grouped.select("_first.*", *extra)
+    counted = df.groupBy(F.col(key)).agg(F.count("*").alias("_n"), F.min(order).alias("_least"))
+    repeated = stored(counted.where("_n > 1"))
+    found = few_join(df, repeated, [key], "left").where(F.col("_least").isNull() | (F.col(order) == F.col("_least")))
+    extra = [F.coalesce("_n", F.lit(1)).alias(copies)] if copies else []
+    return found.select(*df.columns, *extra)
 
 
 def _filled(column: str, default: str) -> Column:

@@ -25,6 +25,7 @@ from reelspark.functions.exprs import (
     to_number,
     to_timestamp,
 )
+from reelspark.operators.spread import few_join, stored
 
 
 @dataclass(frozen=True)
@@ -183,19 +184,11 @@ def audit(df: DataFrame, dataset: str) -> DataFrame:
 
 
 def mark_duplicates(df: DataFrame, key: str) -> DataFrame:
-    """Add ``is_duplicate``. Rows whose key occurs once are matched by their unique
-    ordinal, never by the key, so copies of one key do not meet in one task."""
-    single = (
-        df.groupBy(F.col(key).alias("_key"))
-        .agg(F.count("*").alias("_n"), F.min(ORDINAL).alias(ORDINAL))
-        .where("_n = 1")
-        .select(ORDINAL, F.lit(True).alias("_single"))
-    )
-    return (
-        df.join(single, ORDINAL, "left")
-        .withColumn("is_duplicate", F.col("_single").isNull())
-        .drop("_single")
-    )
+    """Add ``is_duplicate``. Only the keys that occur more than once are joined, which
+    are few as a rule; null keys count as one key."""
+    repeated = stored(df.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1"))
+    marked = few_join(df, repeated, [key], "left")
+    return marked.withColumn("is_duplicate", F.col("_n").isNotNull()).drop("_n")
 
 
 def row_verdicts(df: DataFrame, dataset: str) -> DataFrame:

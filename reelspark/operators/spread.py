@@ -54,6 +54,23 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: Measured bytes of keys up to which a side is broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
+def few_join(left: DataFrame, few: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a stored side that is usually small, null keys matching each other. Where its
+    measured size allows, it is broadcast and the left rows stay where they are; beyond,
+    both sides shuffle and a hot key can be split."""
+    size = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys])
+    measured = few.agg(F.sum(size + 16 * len(few.columns))).first()[0] or 0
+    if measured > BROADCAST_BYTES:
+        return lookup_join(left, few, keys, how, null_safe=True)
+    renamed = few.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(F.broadcast(renamed), same, how).drop(*(f"_right_{k}" for k in keys))
+
+
 def sorted_positions(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Add each row's 0-based position in the global order.
 

@@ -15,11 +15,13 @@ each other, so a round sets one line of each apart.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelspark.contracts import ORDINAL
-from reelspark.operators.spread import lookup_join, stored
+from reelspark.operators.spread import few_join, lookup_join, stored
 
 #: Bytes that a record of several lines may have.
 LONGEST = 16 << 20
@@ -35,16 +37,27 @@ _CLOSES = r'^[^"]*+(?:""[^"]*+)*+"[^,]*+(?:,|$)'
 _SOUND = rf'^(?:(?:{_QUOTED}|[^",][^,]*+)?+(?:,|$))*+$'
 
 
+#: Bits of an ordinal that number the lines of a byte range.
+LINE_BITS = 33
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """value and the line's place (file, byte range, number), stored."""
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
+    """value, its file and byte range, and a whole number that orders all lines by file,
+    range and place. There is one row for each byte range in the table of ranges that
+    is joined; lines are stored first, so that numbers stay as they are."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
     )
+    lines = stored(lines)
+    ranges = lines.groupBy("_file", "_block").agg(F.min("_row").alias("_first"))
+    # one row for each hundred megabytes or so
+    ranges = stored(ranges.withColumn("_range", F.row_number().over(Window.orderBy("_file", "_block"))))
+    lines = few_join(lines, ranges, ["_file", "_block"])
+    place = F.shiftleft(F.col("_range").cast("long"), LINE_BITS) + F.col("_row") - F.col("_first")
     # a byte order mark is no part of the first name
-    text = F.when(F.col("_metadata.file_block_start") == 0, F.regexp_replace("value", "^﻿", "")).otherwise(F.col("value"))
-    return stored(spark.read.text(path).select(text.alias("value"), place.alias(ORDINAL)))
+    text = F.when(F.col("_block") == 0, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
+    return lines.select(text.alias("value"), "_file", "_block", place.alias(ORDINAL))
 
 
 def _opens(line: Column) -> Column:
@@ -76,7 +89,7 @@ def _states(lines: DataFrame) -> DataFrame:
     again = F.endswith(closing, F.lit(",")) & _opens(rest)
     from_in = F.when(has & (closing != ""), again.cast("int")).otherwise(1)
     lines = lines.select(
-        "value", ORDINAL, F.col(f"{ORDINAL}.file").alias("_file"), F.col(f"{ORDINAL}.block").alias("_block"),
+        "value", ORDINAL, "_file", "_block",
         from_out.alias("_out"), from_in.alias("_in"),
     )
     lines = lines.withColumns({
@@ -108,52 +121,46 @@ def _states(lines: DataFrame) -> DataFrame:
         "_file", "_block", F.lag("_seen").over(there).alias("_carried")
     )
     lines = lookup_join(lines, last, ["_file", "_block"])
-    return lines.select("value", ORDINAL, "before", "after", F.coalesce("_start", "_carried").alias("start"))
+    return lines.select("value", "_file", ORDINAL, "before", "after", F.coalesce("_start", "_carried").alias("start"))
 
 
 def _cut_once(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Records of one line, sound records of several, and faulty lines."""
     states = stored(_states(lines))
-    single = states.where("before = 0 AND after = 0").select("value", ORDINAL)
+    single = states.where("before = 0 AND after = 0").select("value", "_file", ORDINAL)
     several = states.where("before = 1 OR after = 1")
-    sizes = stored(several.groupBy("start").agg(
+    sizes = stored(several.groupBy("start", "_file").agg(
         F.sum(F.octet_length("value") + 1).alias("bytes"), F.max_by("after", ORDINAL).alias("open")
     ))
-    whole = sizes.where((F.col("open") == 0) & (F.col("bytes") <= LONGEST)).select("start")
+    whole = sizes.where((F.col("open") == 0) & (F.col("bytes") <= LONGEST)).select("start", "_file")
     parts = F.array_sort(F.collect_list(F.struct(ORDINAL, "value")))
-    joined = lookup_join(several, whole, ["start"]).groupBy("start").agg(F.array_join(parts["value"], "\n").alias("value"))
+    joined = lookup_join(several, whole, ["start", "_file"]).groupBy("start", "_file").agg(F.array_join(parts["value"], "\n").alias("value"))
     joined = stored(joined.withColumn("sound", F.col("value").rlike(_SOUND)))
-    starts = sizes.where((F.col("open") == 1) | (F.col("bytes") > LONGEST)).select("start").union(
-        joined.where(~F.col("sound")).select("start")
+    starts = sizes.where((F.col("open") == 1) | (F.col("bytes") > LONGEST)).select("start", "_file").union(
+        joined.where(~F.col("sound")).select("start", "_file")
     )
-    faults = stored(starts.select(F.col("start").alias(ORDINAL)))
-    return single, joined.where("sound").select("value", F.col("start").alias(ORDINAL)), faults
+    faults = stored(starts.select(F.col("start").alias(ORDINAL), "_file"))
+    return single, joined.where("sound").select("value", "_file", F.col("start").alias(ORDINAL)), faults
 
 
 def cut(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records (value and the place of their first line), and the lines set apart for a
+    """Records (value, file and the ordinal of their first line), and the lines set apart for a
     quote that is not closed. Lines come from ``read_lines``."""
+    columns = ["value", "_file", ORDINAL]
     if not lines.where(F.contains("value", F.lit('"'))).limit(1).count():
-        return lines, lines.limit(0)
-    done, apart, rest = [], [], lines
+        return lines.select(columns), lines.select(columns).limit(0)
+    done, apart, rest = [], [lines.select(columns).limit(0)], lines
     for _ in range(ROUNDS):
         single, several, faults = _cut_once(rest)
-        bad = faults.select(F.col(f"{ORDINAL}.file").alias("_file")).distinct()
-        file = F.col(f"{ORDINAL}.file")
-        fine = [lookup_join(r.withColumn("_file", file), bad, ["_file"], "left_anti").drop("_file") for r in (single, several)]
-        done += fine
-        if not faults.limit(1).count():
+        bad = stored(faults.select("_file").distinct())
+        done += [few_join(r, bad, ["_file"], "left_anti") for r in (single, several)]
+        if not bad.limit(1).count():
             break
-        apart.append(lookup_join(rest, faults, [ORDINAL], "left_semi"))
+        numbers = faults.select(ORDINAL)
+        apart.append(few_join(rest, numbers, [ORDINAL], "left_semi").select(columns))
         # only files with a fault are cut again
-        rest = lookup_join(rest.withColumn("_file", file), bad, ["_file"], "left_semi").drop("_file")
-        rest = stored(lookup_join(rest, faults, [ORDINAL], "left_anti"))
+        rest = few_join(few_join(rest, bad, ["_file"], "left_semi"), numbers, [ORDINAL], "left_anti")
+        rest = stored(rest)
     else:
         raise ValueError(f"quotes are not closed in {[r[0] for r in bad.limit(10).collect()]}")
-    records = done[0]
-    for more in done[1:]:
-        records = records.unionByName(more)
-    rejected = lines.limit(0)
-    for more in apart:
-        rejected = rejected.unionByName(more.select(*lines.columns))
-    return records, rejected
+    return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, apart)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelspark.contracts import EXPECTED_TYPES, ORDINAL, raw_schema
-from reelspark.operators.spread import lookup_join, stored
+from reelspark.operators.spread import few_join, stored
 from reelspark.sources import csv_records
 
 _BEYOND, _LONGER = "beyond", "_longer"
@@ -82,7 +82,7 @@ def _parsed(spark: SparkSession, path: str, multi_line: bool) -> tuple[DataFrame
         odd = F.regexp_count("value", F.lit('"')) % 2 == 1
         records, faults = lines.where(~odd), lines.where(odd)
     records = records.where(F.length("value") > 0)
-    first = records.groupBy(F.col(f"{ORDINAL}.file")).agg(F.min_by("value", ORDINAL).alias("value"), F.min(ORDINAL).alias("at"))
+    first = records.groupBy("_file").agg(F.min_by("value", ORDINAL).alias("value"), F.min(ORDINAL).alias("at"))
     headers = [r[0] for r in first.select("value").distinct().limit(2).collect()]
     faults = faults.select(ORDINAL, F.col("value").alias("record"))
     if not headers:
@@ -92,7 +92,7 @@ def _parsed(spark: SparkSession, path: str, multi_line: bool) -> tuple[DataFrame
     header = header_names(headers[0])
     places = [f"c{i}" for i in range(len(header))]
     fields = ", ".join(f"{c} string" for c in [*places, _BEYOND])
-    body = lookup_join(records, first.select(F.col("at").alias(ORDINAL)), [ORDINAL], "left_anti")
+    body = few_join(records, stored(first.select(F.col("at").alias(ORDINAL))), [ORDINAL], "left_anti")
     parsed = stored(body.select(ORDINAL, "value", F.from_csv("value", F.lit(fields), {"escape": '"'}).alias("_r")).select(
         ORDINAL, F.when(F.col(f"_r.{_BEYOND}").isNotNull(), F.col("value")).alias(_LONGER), *(F.col(f"_r.{c}") for c in places)
     ))
@@ -117,8 +117,7 @@ def land_csv(spark: SparkSession, path: str, dataset: str, multi_line: bool = Tr
 
 
 def _with_no_rows(spark: SparkSession, dataset: str) -> DataFrame:
-    place = T.StructType.fromDDL("file string, block bigint, row bigint")
-    return spark.createDataFrame([], raw_schema(dataset).add(ORDINAL, place))
+    return spark.createDataFrame([], raw_schema(dataset).add(ORDINAL, T.LongType()))
 
 
 #: Types that a column of text is tried for, narrowest first.

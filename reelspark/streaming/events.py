@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,6 +16,7 @@ from reelspark.functions.exprs import count_where, is_watch, ratio, round_even,
 from reelspark.functions.masking import mask_ip
 from reelspark.operators.anomaly import MAX_ADDRESSES, MAX_FRICTION, MAX_SESSION_MINS, MIN_SEARCHES
 from reelspark.operators.quality import accepted
+from reelspark.operators.spread import few_join, stored
 from reelspark.sources.sinks import insert_ignore
 
 # What absent fields of a valid event become.
@@ -25,8 +26,9 @@ TOPIC = "user-events"
 
 
 def read_lines(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    """JSON lines that arrive as files in a folder."""
-    return spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
+    """JSON lines that arrive as files in a folder, with their file and byte range."""
+    lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
+    return lines.select("value", F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("block"))
 
 
 def read_topic(spark: SparkSession, servers: str, max_offsets: int = 1_000_000) -> DataFrame:
@@ -37,7 +39,11 @@ def read_topic(spark: SparkSession, servers: str, max_offsets: int = 1_000_000)
         .option("subscribe", TOPIC)
         .option("maxOffsetsPerTrigger", max_offsets)
         .load()
-        .select(F.col("value").cast("string").alias("value"))
+        .select(
+            F.col("value").cast("string").alias("value"),
+            F.concat_ws("-", "topic", F.col("partition").cast("string")).alias("source"),
+            F.col("offset").alias("position"),
+        )
     )
 
 
@@ -63,7 +69,8 @@ def _minutes(document: Column) -> Column:
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """The fields of each JSON line as text, the minutes, and whether it parsed."""
+    """The fields of each JSON line as text, the minutes, and whether it parsed; other
+    columns of the lines stay."""
     document = F.col("_document")
     fields = [
         F.try_variant_get(document, f"$.{name}", "string").alias(name)
@@ -72,6 +79,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     ]
     parsed = lines.withColumn("_document", F.try_parse_json("value"))
     return parsed.select(
+        *(c for c in lines.columns if c != "value"),
         *fields,
         _minutes(document).alias("watch_time_mins"),
         document.isNotNull().alias("_parsed"),
@@ -149,23 +157,51 @@ class StreamStore:
         return f"{self.root.rstrip('/')}/{name}"
 
 
+def with_positions(checked: DataFrame) -> DataFrame:
+    """Add ``arrival``, the order of the rows, and ``source_key``, which names the place
+    that an event was read from: partition and offset of a topic, or file and line.
+
+    Lines are numbered by place: those of earlier byte ranges of the file, plus the
+    place inside the range. So the same line has the same key in whatever batch and
+    byte range it is read. Rows without a source have no key.
+    """
+    numbered = stored(checked.withColumn("arrival", F.monotonically_increasing_id()))
+    if "source" not in numbered.columns:
+        return numbered.withColumn("source_key", F.lit(None).cast("string"))
+    place = F.col("position") if "position" in numbered.columns else None
+    if place is None:
+        ranges = numbered.groupBy("source", "block").agg(F.count("*").alias("_rows"), F.min("arrival").alias("_first"))
+        earlier = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        ranges = ranges.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+        # one row for each byte range of the batch
+        numbered = few_join(numbered, stored(ranges), ["source", "block"])
+        place = F.col("_before") + F.col("arrival") - F.col("_first")
+    keyed = numbered.withColumn("source_key", F.concat_ws(":", F.col("source"), place.cast("string")))
+    return keyed.drop("_before", "_first", "source", "block", "position")
+
+
 def route_batch(checked: DataFrame, batch_id: int, store: StreamStore) -> None:
     """Write one micro-batch: consumed log first, the other sinks from that log.
 
     Every sink owns a folder per batch and overwrites it, so a repeated batch leaves
     the same files. Reading the log back keeps arrival time and order equal in all sinks.
     Batch numbers restart with a new checkpoint, so a folder is named after the stream,
-    whose id its checkpoint keeps, and the number.
+    whose id its checkpoint keeps, and the number. The log keeps each source position
+    once: what a new checkpoint reads again is in it already, and no sink sees it twice.
     """
     spark = checked.sparkSession
     stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
     batch = f"{stream}-{batch_id}" if stream else str(batch_id)
     part = f"batch_id={batch}"
     logged = f"{store.at('consumed')}/{part}"
-    stamped = checked.withColumn("consumed_at", F.current_timestamp())
-    stamped = stamped.withColumn("arrival", F.monotonically_increasing_id())
-    stamped.write.mode("overwrite").parquet(logged)
-    consumed = spark.read.parquet(logged)
+    keyed = "source" in checked.columns
+    stamped = with_positions(checked).withColumn("consumed_at", F.current_timestamp())
+    if keyed:
+        ordered = stamped.withColumn("_order", F.col("arrival"))
+        insert_ignore(ordered, store.at("consumed"), "source_key", batch, "_order")
+    else:
+        stamped.write.mode("overwrite").parquet(logged)
+    consumed = spark.read.schema(stamped.schema).parquet(logged)
     rejected = consumed.where("NOT is_valid")
     rejected.write.mode("overwrite").parquet(f"{store.at('rejected')}/{part}")
     insert_ignore(accepted_events(consumed), store.at("events"), "event_id", batch, "arrival")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from reelspark.contracts import ORDINAL
-from reelspark.operators import cleaning, constraints, drift, quality
+from reelspark.operators import cleaning, constraints, drift, quality, spread
 
 EVENT = "event_id string, user_id string, event_type string, watch_time_mins string, timestamp string"
 
@@ -73,6 +73,36 @@ def test_counters_agree_on_a_hot_key(spark):
     assert (hot[ORDINAL], hot.copies) == (0, 1000)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedupe_moves_no_whole_rows(spark):
+    """Only key, count and number are aggregated, by hashing; rows stay where they are."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.concat(F.lit("E"), F.col("id") % 1900)).alias("event_id"),
+        F.repeat(F.lit("x"), 50).alias("payload"),
+        F.col("id").alias(ORDINAL),
+    )
+    first = cleaning.keep_first(df, "event_id", "copies")
+    rows = first.collect()
+    want = {}
+    for r in df.orderBy(ORDINAL).collect():
+        want.setdefault(r.event_id, []).append(r[ORDINAL])
+    assert {(r.event_id, r[ORDINAL], r.copies) for r in rows} == {(k, v[0], len(v)) for k, v in want.items()}
+    assert "SortAggregate" not in plan_of(first) and "Exchange hash" not in plan_of(first)
+    counted = quality.mark_duplicates(df, "event_id")
+    assert "Exchange hash" not in plan_of(counted)
+    assert counted.where("is_duplicate").count() == sum(len(v) for v in want.values() if len(v) > 1)
+
+
+def test_dedupe_with_many_repeated_keys(spark, monkeypatch):
+    monkeypatch.setattr(spread, "BROADCAST_BYTES", 0)
+    df = spark.range(400).select((F.col("id") % 100).alias("event_id"), F.col("id").alias(ORDINAL))
+    got = cleaning.keep_first(df, "event_id", "copies").collect()
+    assert {(r.event_id, r[ORDINAL], r.copies) for r in got} == {(i, i, 4) for i in range(100)}
+
+
 def test_added_column_is_low_drift(spark):
     row = ("U1", "A", "a@b.io", "123x", "US", "2024-01-01", "Basic", "active", True)
     names = "user_id name email phone country registration_date tier status surprise".split()

@@ -102,17 +102,47 @@ def test_full_refresh_switches_at_once(spark, tmp_path):
     assert store.read("t").count() == 9
 
 
-def test_insert_ignore_paths_agree(spark, tmp_path, monkeypatch):
-    for limit in (1_000_000, 1):
-        monkeypatch.setattr(sinks, "BROADCAST_ROWS", limit)
-        path = str(tmp_path / f"events{limit}")
-        rows = spark.createDataFrame([("a", 1, 0), ("b", 1, 1)], "k string, v int, at int")
-        sinks.insert_ignore(rows, path, "k", 0, "at")
-        more = spark.createDataFrame([("b", 2, 0), ("c", 3, 2), ("c", 2, 1)], "k string, v int, at int")
-        sinks.insert_ignore(more, path, "k", 1, "at")
-        sinks.insert_ignore(more, path, "k", 1, "at")
-        got = sorted((r.k, r.v) for r in spark.read.parquet(path).collect())
-        assert got == [("a", 1), ("b", 1), ("c", 2)]
+ROW = "k string, v int, at long"
+
+
+def test_insert_ignore_keeps_the_first(spark, tmp_path):
+    path = str(tmp_path / "events")
+    sinks.insert_ignore(spark.createDataFrame([("a", 1, 0), ("b", 1, 1), (None, 1, 2)], ROW), path, "k", 0, "at")
+    more = spark.createDataFrame([("b", 2, 0), ("c", 3, 2), ("c", 2, 1), (None, 2, 3)], ROW)
+    sinks.insert_ignore(more, path, "k", 1, "at")
+    sinks.insert_ignore(more, path, "k", 1, "at")
+    got = sorted((str(r.k), r.v) for r in spark.read.parquet(path).collect())
+    assert got == [("None", 1), ("a", 1), ("b", 1), ("c", 2)]
+
+
+def test_key_table_is_merged_and_read_by_bucket(spark, tmp_path, monkeypatch):
+    """The files that a batch opens do not grow with the number of batches before it."""
+    monkeypatch.setattr(sinks, "MERGE_AFTER", 3)
+    path, opened = str(tmp_path / "events"), []
+    for n in range(8):
+        rows = spark.createDataFrame([(f"k{7 * n + i}", n, i) for i in range(10)], ROW)
+        keys = sinks.KeyTable(spark, path, "k")
+        known = keys.known(spark.createDataFrame([("k1",)], "k string"), "other")
+        if known is not None:
+            opened.append(known.select(F.input_file_name()).distinct().count())
+            assert known.where("k = 'k1'").count() == 1
+        sinks.insert_ignore(rows, path, "k", n, "at")
+    assert len(opened) == 7 and max(opened) <= 3 and len(keys.batches(keys.manifest())) < 3
+    stored = [r.k for r in spark.read.parquet(path).collect()]
+    assert sorted(stored) == sorted({f"k{7 * n + i}" for n in range(8) for i in range(10)})
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    # a merged batch that is repeated changes nothing
+    before = sorted(map(tuple, spark.read.parquet(path).collect()), key=str)
+    sinks.insert_ignore(spark.createDataFrame([(f"k{i}", 0, i) for i in range(10)], ROW), path, "k", 0, "at")
+    assert sorted(map(tuple, spark.read.parquet(path).collect()), key=str) == before
+
+
+def test_rows_stored_before_the_key_table_count(spark, tmp_path):
+    path = str(tmp_path / "old")
+    spark.createDataFrame([("a", 1)], "k string, v int").write.parquet(f"{path}/batch_id=0")
+    sinks.insert_ignore(spark.createDataFrame([("a", 2, 0), ("b", 2, 1)], ROW), path, "k", 1, "at")
+    assert sorted((r.k, r.v) for r in spark.read.parquet(path).collect()) == [("a", 1), ("b", 2)]
 
 
 def test_retain_newest(spark, tmp_path):
@@ -227,7 +257,7 @@ def test_quoted_breaks_across_byte_ranges(spark, tmp_path, small_ranges, seed):
     csv_module.writer(out, lineterminator="\n").writerows([["user_id", "name", "email"], *rows])
     path = csv(tmp_path, out.getvalue() + 'U900,unquoted 5" pipe,z\n')
     lines = csv_records.read_lines(spark, path)
-    assert lines.select(F.col(f"{ORDINAL}.block")).distinct().count() > 8
+    assert lines.select("_block").distinct().count() > 8
     landed = files.land_csv(spark, path, "users")
     got = {r.user_id: (r.name, r.email) for r in landed.arrived.collect()}
     plain = lambda s: None if s in files.NULL_TOKENS else s

@@ -104,6 +104,35 @@ def test_routing_and_replay(spark, tmp_path):
     assert spark.read.json(store.at("raw_documents")).count() == 7
 
 
+def test_replay_from_a_new_checkpoint_changes_nothing(spark, tmp_path):
+    """The same files read again, in other batches and with other byte ranges."""
+    incoming, store = tmp_path / "in", stream.StreamStore(str(tmp_path / "out"))
+    put(incoming, "a.json", [event(event_id=f"E{i}") for i in range(40)] + [event(event_type="hack"), event()])
+    put(incoming, "b.json", [event(), event(), event(user_id="absent")])
+
+    def sinks():
+        readers = (("consumed", "parquet"), ("rejected", "parquet"), ("events", "parquet"), ("raw_documents", "json"))
+        found = {}
+        for name, kind in readers:
+            df = spark.read.format(kind).load(store.at(name)).drop("batch_id")
+            found[name] = sorted(map(str, df.collect()))
+        return found
+
+    run(spark, incoming, store, tmp_path / "cp")
+    first = sinks()
+    assert [len(first[n]) for n in ("consumed", "rejected", "events", "raw_documents")] == [45, 2, 40, 43]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        run(spark, incoming, store, tmp_path / "cp-2")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sinks() == first
+    put(incoming, "c.json", [event(event_id="new")])
+    run(spark, incoming, store, tmp_path / "cp-2")
+    assert len(sinks()["consumed"]) == 46
+
+
 def drain(df, name, mode):
     query = df.writeStream.format("memory").queryName(name).outputMode(mode).start()
     query.processAllAvailable()
