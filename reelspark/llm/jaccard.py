@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspark.llm.common import sliced, text_of, written
+from reelspark.llm.common import sliced, text_of, unused, written
 from reelspark.llm.graph import components
 from reelspark.operators.spread import lookup_join
 
@@ -372,8 +372,8 @@ def links(docs: DataFrame, base: DataFrame, width: int, percent: int) -> tuple[D
     return nodes, found.union(more)
 
 
-def near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def _components(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n and node of every row, and node and component_id of every node."""
     base = described(docs, width, percent)
     nodes, linked = links(docs, base, width, percent)
     roots = components(linked)
@@ -381,19 +381,35 @@ def near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
         "root", F.coalesce("root", "node")
     )
     least = owned.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = written(lookup_join(owned, least, ["root"]).select("node", "component_id"), "components")
+    return base, written(lookup_join(owned, least, ["root"]).select("node", "root", "component_id"), "components")
+
+
+def near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    base, named = _components(docs, width, percent)
     return lookup_join(base.select("doc_id", "n", "node"), named, ["node"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The document with the smallest id of each group, with all its columns. Of rows
-    that repeat an id and a text one stays; rows without an id stay."""
-    found = written(near_copies(docs, width, percent), "near-copies")
-    extra = written(found.where("doc_id <> component_id").select("doc_id").distinct(), "extra")
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    kept = small_join(docs, extra, ["doc_id"], "left_anti").select(*docs.columns)
-    if not repeated:
-        return kept
-    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
+    """One row of each group of near copies, with all its columns: the one with the
+    smallest id, rows without an id last; of rows that repeat that id any one.
+
+    Rows are told apart by a number, not by their id: of two texts with one id, a copy
+    goes and a text without another copy stays. Rows without words are in no group and
+    stay, as often as they come.
+    """
+    place = unused(docs, "_place")
+    numbered = written(docs.withColumn(place, F.monotonically_increasing_id()), "numbered")
+    # the number stands in for the id, which only names the rows in what follows
+    rows = numbered.select(F.col(place).alias("doc_id"), "text")
+    base, named = _components(rows, width, percent)
+    ids = numbered.select(F.col(place).alias("doc_id"), F.col("doc_id").alias("id"))
+    found = lookup_join(base.select("doc_id", "node"), named.select("node", "root"), ["node"])
+    found = lookup_join(found, ids, ["doc_id"])
+    order = F.struct(F.col("id").isNull().alias("late"), "id", "doc_id")
+    first = written(found.groupBy("root").agg(F.min(order)["doc_id"].alias("_first")), "first")
+    extra = lookup_join(found, first, ["root"]).where("doc_id <> _first").select(F.col("doc_id").alias(place))
+    kept = small_join(numbered, written(extra, "extra"), [place], "left_anti")
+    return kept.select(*docs.columns)

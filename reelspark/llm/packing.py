@@ -46,9 +46,16 @@ def rank_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+#: The token that the vocabulary writes whole, and its id.
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
+
+
 class Encoder:
     """Ids of a text as little-endian 32-bit integers.
 
+    A text is first cut at the special token, which has an id of its own and which no
+    other token reaches across.
+
     The splitting pattern never joins a character other than white space to a space
     after it, so a text may be cut before each single space between two other
     characters and every part looked up on its own.
@@ -72,6 +79,12 @@ class Encoder:
         return np.array(self._encoding.encode_ordinary(text), dtype="<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
+        if SPECIAL not in text:
+            return self._plain(text)
+        special = np.array([SPECIAL_ID], dtype="<u4").tobytes()
+        return special.join(self._plain(part) for part in text.split(SPECIAL))
+
+    def _plain(self, text: str) -> bytes:
         parts = (self._CUT.split(text) if self._PAIR.search(text) else text.split(" ")) if text else [""]
         known, out = self._known, [self._direct(parts[0])]
         for part in parts[1:]:

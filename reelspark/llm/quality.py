@@ -31,7 +31,8 @@ from reelspark.llm.common import text_of, unused
 TRAIN_ROWS = 20_000
 #: A learned rule must be right on so large a share of the pruning examples.
 MIN_PRECISION = 0.95
-MIN_SUPPORT = 8
+#: It must also cover this share of the bad pruning examples, and one of them at least.
+MIN_SHARE = 0.05
 
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
@@ -203,11 +204,21 @@ def _worth(rule: Rule, values, bad: np.ndarray) -> tuple[float, int]:
 
 
 def learn(frame: pd.DataFrame, bad: np.ndarray) -> list[Rule]:
-    """Sequential covering: grow, prune, keep the rule, drop what it covers, go on."""
+    """Sequential covering: grow a rule, prune it, keep it if the pruning examples bear
+    it out, drop what it covers, go on.
+
+    A rule that does not hold is not the end: the bad examples that it covers are set
+    aside, as no rule of its kind is to be had, and the others are gone on with. What a
+    rule must cover is a share of the bad examples, so a small set learns as well. The
+    examples are dealt in turn, bad and good apart, so that both parts have both.
+    """
     names = list(frame.columns)
     x = {c: frame[c].to_numpy(dtype=float) for c in names}
     bad = np.asarray(bad, dtype=bool)
-    part = np.arange(len(bad)) % 3 == 2
+    part = np.zeros(len(bad), dtype=bool)
+    for kind in (bad, ~bad):
+        part[np.flatnonzero(kind)[2::3]] = True
+    least = max(1, math.ceil(MIN_SHARE * int((bad & part).sum())))
     left, rules = np.ones(len(bad), dtype=bool), []
     while True:
         grow = {c: x[c][left & ~part] for c in names}
@@ -222,10 +233,14 @@ def learn(frame: pd.DataFrame, bad: np.ndarray) -> list[Rule]:
                 break
             rule = rule[:-1]
         precision, support = _worth(rule, prune, prune_bad) if rule else (0.0, 0)
-        if precision < MIN_PRECISION or support < MIN_SUPPORT:
+        covered = _covers(rule, x, len(bad)) & left
+        if precision >= MIN_PRECISION and support >= least:
+            rules.append(rule)
+            left &= ~covered
+        elif rule and (covered & bad).any():
+            left &= ~(covered & bad)
+        else:
             return rules
-        rules.append(rule)
-        left &= ~_covers(rule, x, len(bad))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> pd.DataFrame:

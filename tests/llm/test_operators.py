@@ -89,6 +89,9 @@ def test_near_copies(spark, docs, none):
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in kept.collect()) == [-1, 0, 3, 4, 6, 7, 8]
+    odd = [(5, "one text alone"), (5, LONG), (3, LONG), (None, LONG), (None, "no id at all"), (None, "no id at all"), (9, None), (9, None)]
+    left = jaccard.keep_one(spark.createDataFrame(odd, "doc_id long, text string")).collect()
+    assert sorted(map(str, left)) == sorted(map(str, [r for r in spark.createDataFrame([odd[i] for i in (0, 2, 4, 6, 7)], "doc_id long, text string").collect()]))
     assert jaccard.near_copies(none).count() == 0
 
 
@@ -233,12 +236,50 @@ def test_quality_rules(spark, docs, none):
     labels = read(spark, "labels")
     learned = quality.fit(read(spark), labels)
     judged = quality.judge(read(spark), learned).join(labels, "doc_id").where("not base_failed").toPandas()
-    assert ((judged["kept"] == (judged["quality"] == 1)) | judged["kept"]).mean() > 0.97
+    # bad documents go, good ones stay
+    bad = judged["quality"] == 0
+    assert learned and (~judged["kept"][bad]).mean() > 0.8 and judged["kept"][~bad].mean() > 0.97
     kept = quality.reject(docs, learned)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} >= {0, 1, 2, 6}
     assert quality.fit(none, labels) == [] and quality.judge(none, []).count() == 0
 
 
+def test_quality_rules_hold_on_other_rows(spark):
+    """Learned from half of the labels of a larger table, tested on the other half; the
+    counts and the base verdict against a plain version."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rules = quality.fit(docs, labels.where("doc_id % 2 = 0"))
+    judged = quality.judge(docs, rules).toPandas().set_index("doc_id")
+    other = labels.where("doc_id % 2 = 1").toPandas().set_index("doc_id").join(judged, how="inner")
+    other = other[~other["base_failed"]]
+    bad = other["quality"] == 0
+    assert rules and (~other["kept"][bad]).mean() > 0.6 and other["kept"][~bad].mean() > 0.97
+    for doc, text in docs.select("doc_id", "text").collect()[::25]:
+        found = words(text)
+        windows = [tuple(found[i : i + 5]) for i in range(len(found) - 4)]
+        twice = {w for w, n in collections.Counter(windows).items() if n > 1}
+        repeated = {i + j for i, w in enumerate(windows) if w in twice for j in range(5)}
+        seen, dup = set(), 0
+        for line in (text or "").split("\n"):
+            if words(line):
+                dup += line in seen
+                seen.add(line)
+        row = judged.loc[doc]
+        want = (len(found), sum(map(len, found)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(repeated))
+        assert tuple(row[["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]]) == want
+        assert row["base_failed"] == (len(found) < 10 or 100 * len(repeated) > 20 * len(found))
+
+
+def test_rules_are_learned_from_few_examples():
+    rng = np.random.default_rng(6)
+    frame = pd.DataFrame({"x": rng.random(60), "y": rng.random(60)})
+    bad = (frame["x"] > 0.85).to_numpy()
+    bad[np.flatnonzero(~bad)[:2]] = True  # two that follow no rule
+    assert bad.sum() < 24 and quality.learn(frame, bad)
+    assert quality.learn(frame, np.zeros(60, dtype=bool)) == []
+
+
 def test_patterns_fill_up():
     rng = np.random.default_rng(4)
     for _ in range(30):
@@ -259,8 +300,9 @@ def test_packing(spark, docs, none):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
+    special = [(90, "a <|endoftext|> b"), (91, "<|endoftext|>"), (92, "<|endoftext|><|endoftext|> x  <|endoftext|>\n"), (93, "<|endoftext")]
     frame = read(spark).select("doc_id", "text").union(docs.select("doc_id", "text"))
+    frame = frame.union(spark.createDataFrame(special, "doc_id long, text string"))
     want = collections.Counter()
     for doc, text in frame.collect():
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
