@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelspark.functions.exprs import is_watch, ratio, round_even, strip
-from reelspark.operators.quality import audit
+from reelspark.operators.quality import audit, source_columns
+from reelspark.operators.spread import stored
 from reelspark.plans.analytics import title_activity
 from reelspark.plans.marts import user_activity
 
@@ -153,7 +154,8 @@ def _second(*parts: Column) -> Column:
 def narratives(
     users: DataFrame, content: DataFrame, events: DataFrame, subscriptions: DataFrame
 ) -> DataFrame:
-    """One sentence per topic, from the leading rows of its report."""
+    """One sentence per topic, from the leading rows of its report. The wording is a
+    fixed value."""
     watched = _leaders(
         top_watched(content, events),
         [F.desc("total_watch_mins"), *map(F.col, ("title", "genre", "content_type", "rating"))],
@@ -211,6 +213,15 @@ def narratives(
             _money(_field(0, "monthly_revenue")), F.lit("."),
         ).alias("answer"),
     )
+    stored_events = events.select(*(F.col(c).cast("string").alias(c) for c in source_columns(events)))
+    health = audit(stored_events, "events").select(
+        F.lit("Data Governance & Quality").alias("category"),
+        F.concat(
+            F.lit("**Data Quality Status**: Operational warehouse tables are clean and healthy. Events health is at **"),
+            F.col("dq_score").cast("string"),
+            F.lit("%**, with zero unresolved duplicates remaining after ETL deduplication."),
+        ).alias("answer"),
+    )
     summary = platform_summary(users, content, events, subscriptions).select(
         F.lit(FALLBACK_TOPIC).alias("category"),
         F.concat(
@@ -230,7 +241,7 @@ def narratives(
         "Financial Analytics": "No active subscription records found.",
     }
     missing = F.create_map(*(F.lit(x) for pair in nothing.items() for x in pair))
-    sentences = reduce(DataFrame.unionByName, [watched, active, mix, trend, money, summary])
+    sentences = reduce(DataFrame.unionByName, [watched, active, mix, trend, health, money, summary])
     return sentences.withColumn("answer", F.coalesce("answer", missing[F.col("category")]))
 
 
@@ -253,3 +264,12 @@ def valid_rate(audited: DataFrame) -> DataFrame:
     return audited.select(
         "total_records", "valid_records", round_even(percent, 1).alias("valid_percent")
     )
+
+
+def answer_questions(
+    questions: DataFrame, users: DataFrame, content: DataFrame, events: DataFrame, subscriptions: DataFrame
+) -> DataFrame:
+    """Every question with its category and the sentence that answers it. There is one
+    sentence for each topic, so they are broadcast."""
+    sentences = stored(narratives(users, content, events, subscriptions))
+    return route_questions(questions).join(F.broadcast(sentences), "category")

@@ -456,6 +456,13 @@ _suite("rpt_platform_summary", reports.platform_summary, "users", "content", "ev
 _suite("rpt_narrative", reports.narratives, "users", "content", "events", "subscriptions")
 
 
+@query("answer_questions")
+def _(spark, folder):
+    t = Tables(spark, folder)
+    answered = reports.answer_questions(t.questions, t.users, t.content, t.events, t.subscriptions)
+    return answered.select("conv_id", "turn", "category", "answer")
+
+
 # --- churn, recommendations, anomalies --------------------------------------------------
 
 _suite("churn_features", churn.churn_features, "users", "events", "subscriptions")
@@ -574,6 +581,30 @@ def _(spark, folder):
     return _checked(spark, folder).select("event_id", "user_id", "event_type", "is_valid", "validation_note")
 
 
+@query("stream_route_valid")
+def _(spark, folder):
+    checked = _checked(spark, folder).withColumn("consumed_at", F.current_timestamp()).withColumn("arrival", F.lit(0))
+    # rows without a clock get the time of arrival, which no statement can know
+    return stream.accepted_events(checked).drop("timestamp", "arrival")
+
+
+@query("stream_dead_letter")
+def _(spark, folder):
+    return _checked(spark, folder).where("NOT is_valid").select("event_id", "user_id", "event_type", "validation_note")
+
+
+@query("stream_documents")
+def _(spark, folder):
+    docs = stream.stream_documents(_checked(spark, folder))
+    return docs.select("event_id", "user_id", "event", "content_id", "timestamp", "metadata.*")
+
+
+_suite("stream_multi_ip_windows", stream.multi_ip_windows, "events")
+_suite("stream_friction_windows", stream.friction_windows, "events")
+_suite("stream_long_session_windows", stream.long_session_windows, "events")
+_suite("stream_scraper_windows", stream.scraper_windows, "events")
+
+
 @query("stream_metrics")
 def _(spark, folder):
     return stream.metrics(_checked(spark, folder))

@@ -173,6 +173,7 @@ EV_FLAGS = f"""evf AS (
         + ("timestamp" IS NULL)::INT + (ip_address IS NULL)::INT AS nulls
     FROM ev_raw)"""
 EV_BAD = "(is_duplicate OR invalid_user_ids OR invalid_event_types OR invalid_numerics OR invalid_timestamps)"
+CLEAN_FLAGS = EV_FLAGS.replace("evf AS", "evc AS").replace("ord, ", "").replace("FROM ev_raw", "FROM ev")
 US_FLAGS = f"""usf AS (
     SELECT ord, user_id,
         count(*) OVER (PARTITION BY user_id) > 1 AS is_duplicate,
@@ -366,13 +367,14 @@ FACT = f"""fact AS (
         {stamp('max(e."timestamp")', 'last_active_at')}
     FROM us u LEFT JOIN stg_ev e ON u.user_id = e.user_id GROUP BY u.user_id)"""
 
+# Topics and the phrases that lead to them.
 TOPICS = (
-    ("Content Analytics", "watch time,most watched,highest watch,longest"),
-    ("User Analytics", "active user,most active,top user,user activity"),
-    ("Event Stream Analytics", "common event,events today,event type,most common,event breakdown"),
-    ("Trend Analysis", "trending,popular,frequent"),
-    ("Data Governance & Quality", "data quality,quality status,dq,duplicates,null"),
-    ("Financial Analytics", "subscription,revenue,mrr,plan,paying"),
+    ("Content Analytics", ("watch time", "most watched", "highest watch", "longest")),
+    ("User Analytics", ("active user", "most active", "top user", "user activity")),
+    ("Event Stream Analytics", ("common event", "events today", "event type", "most common", "event breakdown")),
+    ("Trend Analysis", ("trending", "popular", "frequent")),
+    ("Data Governance & Quality", ("data quality", "quality status", "dq", "duplicates", "null")),
+    ("Financial Analytics", ("subscription", "revenue", "mrr", "plan", "paying")),
 )
 
 RPT = {
@@ -419,6 +421,10 @@ NARRATIVE = union(
         f"""SELECT 'Trend Analysis', 'Trending content is led by **' || {nth('trend', 'title', 0)} || '** ('
             || {nth('trend', 'genre', 0)} || ') with ' || {nth('trend', 'total_interactions', 0)}
             || ' total user interactions and ' || {nth('trend', 'watch_time_mins', 0)} || ' minutes watched.'""",
+        f"""SELECT 'Data Governance & Quality',
+            '**Data Quality Status**: Operational warehouse tables are clean and healthy. Events health is at **'
+            || (SELECT dq_score FROM {audit('events').replace('evf', 'evc')})::VARCHAR
+            || '%**, with zero unresolved duplicates remaining after ETL deduplication.'""",
         f"""SELECT 'Financial Analytics', 'Total Monthly Recurring Revenue (MRR) stands at **'
             || format('${{:,.2f}}', (SELECT sum(monthly_revenue) FROM ({RPT['revenue']})))
             || '**. The top revenue driver is **' || {nth('revenue', 'plan_name', 0)} || '** bringing in '
@@ -959,7 +965,7 @@ def statements() -> dict[str, str]:
     )
 
     arms = " ".join(
-        "WHEN " + " OR ".join(f"contains(q, '{p}')" for p in phrases.split(",")) + f" THEN '{topic}'"
+        "WHEN " + " OR ".join(f"contains(q, '{p}')" for p in phrases) + f" THEN '{topic}'"
         for topic, phrases in TOPICS
     )
     s["route_questions"] = with_(
@@ -978,7 +984,13 @@ def statements() -> dict[str, str]:
         """SELECT (SELECT count(*) FROM us) AS total_users, (SELECT count(*) FROM ct) AS total_titles,
         (SELECT count(*) FROM ev) AS total_events, (SELECT count(*) FROM sb) AS total_subs"""
     )
-    s["rpt_narrative"] = with_(NARRATIVE)
+    s["rpt_narrative"] = with_(NARRATIVE, CLEAN_FLAGS)
+    s["answer_questions"] = with_(
+        f"""SELECT conv_id, turn, category, answer FROM (
+            SELECT conv_id, turn, CASE {arms} ELSE 'Platform Summary' END AS category
+            FROM (SELECT *, lower(question) AS q FROM qs)) JOIN ({NARRATIVE}) USING (category)""",
+        CLEAN_FLAGS,
+    )
 
     s["churn_features"] = with_("SELECT * FROM cf", CHURN_FEATURES)
     s["churn_scores"] = with_("SELECT * FROM cs", CHURN_FEATURES, CHURN)
@@ -1102,6 +1114,39 @@ def statements() -> dict[str, str]:
         f"""SELECT event_id, user_id, event_type, note = 'Valid' AS is_valid, note AS validation_note
         FROM (SELECT *, {NOTE} AS note FROM ev_raw)"""
     )
+    s["stream_route_valid"] = with_(
+        f"""SELECT event_id, user_id, event_type, content_id, try_cast(watch_time_mins AS BIGINT) AS watch_time_mins,
+        coalesce(device, 'Unknown') AS device, coalesce(session_id, 'sess_stream') AS session_id, {IP} AS ip_address
+        FROM (SELECT * REPLACE (coalesce(ip_address, '127.0.0.1') AS ip_address), {NOTE} AS note FROM ev_raw)
+        WHERE note = 'Valid'"""
+    )
+    s["stream_dead_letter"] = with_(
+        f"""SELECT event_id, user_id, event_type, note AS validation_note
+        FROM (SELECT *, {NOTE} AS note FROM ev_raw) WHERE note <> 'Valid'"""
+    )
+    s["stream_documents"] = with_(
+        f"""SELECT event_id, user_id, event_type AS event, content_id, "timestamp", device,
+        try_cast(watch_time_mins AS BIGINT) AS watch_time_mins, 'kafka_stream_consumer' AS source
+        FROM (SELECT *, {NOTE} AS note FROM ev_raw) WHERE note = 'Valid'"""
+    )
+    day = stamp("date_trunc('day', \"timestamp\")", "window_start")
+    s["stream_multi_ip_windows"] = with_(
+        f"""SELECT {day}, user_id, count(DISTINCT ip_address) AS n_ips FROM ev
+        WHERE user_id IS NOT NULL AND "timestamp" IS NOT NULL GROUP BY ALL HAVING n_ips > 2"""
+    )
+    s["stream_friction_windows"] = with_(
+        f"""SELECT {day}, count(*) FILTER (WHERE event_type IN ('buffering', 'error'))::DOUBLE / count(event_type)
+        AS friction FROM ev WHERE "timestamp" IS NOT NULL GROUP BY 1 HAVING friction > 0.10"""
+    )
+    s["stream_long_session_windows"] = with_(
+        f"""SELECT {day}, event_id, user_id, watch_time_mins FROM ev
+        WHERE event_type = 'video_watch' AND watch_time_mins > 240"""
+    )
+    s["stream_scraper_windows"] = with_(
+        f"""SELECT {day}, user_id, count(*) FILTER (WHERE event_type = 'search') AS searches FROM ev
+        WHERE user_id IS NOT NULL AND "timestamp" IS NOT NULL GROUP BY ALL
+        HAVING searches >= 5 AND count(*) FILTER (WHERE event_type = 'video_watch') = 0"""
+    )
     s["stream_metrics"] = with_(
         f"""SELECT count(*) AS total_consumed, count(*) FILTER (WHERE note = 'Valid') AS valid_events,
         count(*) FILTER (WHERE note <> 'Valid') AS invalid_events,
