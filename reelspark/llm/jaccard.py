@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspark.llm.common import sliced, text_of, unused, written
+from reelspark.llm.common import sliced, small_batches, text_of, unused, written
 from reelspark.llm.graph import components
 from reelspark.operators.spread import lookup_join
 
@@ -374,8 +374,10 @@ def links(docs: DataFrame, base: DataFrame, width: int, percent: int) -> tuple[D
 
 def _components(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """doc_id, n and node of every row, and node and component_id of every node."""
-    base = described(docs, width, percent)
-    nodes, linked = links(docs, base, width, percent)
+    with small_batches(docs.sparkSession):
+        base = described(docs, width, percent)
+        nodes, linked = links(docs, base, width, percent)
+        linked = written(linked, "all-links")
     roots = components(linked)
     owned = lookup_join(nodes.select("node", "rep"), roots, ["node"], "left").withColumn(
         "root", F.coalesce("root", "node")
