@@ -15,8 +15,16 @@ from reelspark.llm.common import table, written
 ORACLE_SQL = None
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Stages return plans that run later, so their batches of texts for Python are
+    bounded for the rest of the session: by bytes, and by rows where bytes don't count."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the learned decision list rejects go."""
+    _small_batches(spark)
     return quality.reject(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
@@ -50,6 +58,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)

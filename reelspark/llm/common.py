@@ -35,17 +35,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 @contextmanager
-def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+def small_batches(spark: SparkSession, size: int = 1 << 20) -> Iterator[None]:
     """Jobs that run inside hand texts to Python in batches of so many bytes: a batch of
     long texts is bounded before a worker holds it."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(size))
+    before = spark.conf.get(_BATCH_BYTES)
+    spark.conf.set(_BATCH_BYTES, str(size))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(_BATCH_BYTES, before)
 
 
 def text_of(name: str = "text") -> Column:

@@ -52,7 +52,7 @@ MATCHES = 2
 #: Members and queries that meet in one task at a time, on average.
 MEMBERS, QUERIES = 64, 256
 #: Word hashes that a task keeps at hand.
-WORDS = 1 << 17
+WORDS = 1 << 16
 #: Rows up to which a narrow side of a join is broadcast; beyond, both sides shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -106,13 +106,14 @@ def token_counts(docs: DataFrame, width: int, cells: int = CELLS) -> np.ndarray:
     step = cells // SEGMENTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = _WordHashes(), np.zeros(cells, dtype=np.int32)
+        hashes, total = _WordHashes(), np.zeros(cells, dtype=np.uint16)
         for batch in sliced(batches):
             sets = [shingle_set(t, hashes, width) for t in batch["text"].to_pylist()]
             if sets:
                 at = (np.concatenate(sets) & np.uint64(cells - 1)).astype(np.int64)
                 at, times = np.unique(at, return_counts=True)
-                total[at] += times.astype(np.int32)
+                # counts end at 65,535 here as in the sum
+                total[at] = np.minimum(total[at] + times, 2**16 - 1)
         blobs = []
         for s in range(SEGMENTS):
             part = total[s * step : (s + 1) * step]
