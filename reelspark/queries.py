@@ -583,7 +583,8 @@ def _(spark, folder):
 
 @query("stream_route_valid")
 def _(spark, folder):
-    checked = _checked(spark, folder).withColumn("consumed_at", F.current_timestamp()).withColumn("arrival", F.lit(0))
+    checked = stored(_checked(spark, folder))  # as the consumed log is
+    checked = checked.withColumn("consumed_at", F.current_timestamp()).withColumn("arrival", F.lit(0))
     # rows without a clock get the time of arrival, which no statement can know
     return stream.accepted_events(checked).drop("timestamp", "arrival")
 

@@ -173,7 +173,7 @@ EV_FLAGS = f"""evf AS (
         + ("timestamp" IS NULL)::INT + (ip_address IS NULL)::INT AS nulls
     FROM ev_raw)"""
 EV_BAD = "(is_duplicate OR invalid_user_ids OR invalid_event_types OR invalid_numerics OR invalid_timestamps)"
-CLEAN_FLAGS = EV_FLAGS.replace("evf AS", "evc AS").replace("ord, ", "").replace("FROM ev_raw", "FROM ev")
+CLEAN_FLAGS = EV_FLAGS.replace("evf AS", "evc AS").replace("ord, ", "").replace("FROM ev_raw", "FROM (SELECT * REPLACE (user_id::VARCHAR AS user_id) FROM ev)")
 US_FLAGS = f"""usf AS (
     SELECT ord, user_id,
         count(*) OVER (PARTITION BY user_id) > 1 AS is_duplicate,
