@@ -40,7 +40,9 @@ HEADLINE = (
     "rec_similar_titles",
     "anom_all",
     "text_chunks",
+    "tfidf_index",
     "tfidf_search",
+    "rag_answer",
     "stream_validate",
 )
 
