@@ -1,8 +1,11 @@
 """Personal data in texts: fixed patterns, and spans learned from labelers that disagree.
 
-Four kinds follow fixed patterns and always count. Further candidates, long runs of
-letters and digits, get votes from labelers: patterns, word lists and the characters
-around. Expectation-maximisation over the vote patterns estimates how reliable each
+Four kinds follow fixed patterns and always count. Further candidates are runs of letters
+and digits, also joined by marks (``secret``), values after a word like "password"
+(``password``), groups of digits such as local phone numbers and national ids
+(``number``), and capitalised names after a title or a given name (``name``). Each kind
+has labelers of its own, which vote: patterns, word lists and the characters around.
+Expectation-maximisation over the vote patterns of a kind estimates how reliable each
 labeler is without any labelled data. The resulting probabilities train a naive Bayes
 classifier over the candidates' features, which decides all spans, also those on which
 most labelers abstain.
@@ -36,18 +39,45 @@ EMAIL = rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-RUN = r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])[A-Za-z0-9]{12,}+"
+
+HINT_WORDS = "password|passwd|pwd|passphrase|token|secret|key|apikey|bearer|credential|credentials|auth|login|access"
+PLAIN_WORDS = "version|page|chapter|figure|section|article|release|build|isbn|model|issue|line"
+PHRASE_WORDS = "password|passwd|pwd|passphrase|passcode|pin|secret"
+NUMBER_WORDS = "phone|tel|telephone|call|mobile|cell|fax|contact|dial|ssn|social|security|passport|licence|license|id|text"
+TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Madam"
+NAME_WORDS = "name|contact|dear|signed|patient|customer|regards|sincerely|attn|hello|hi"
+GIVEN_NAMES = (
+    "James|Mary|John|Patricia|Robert|Jennifer|Michael|Linda|William|Elizabeth|David|Barbara|Richard|Susan|Joseph|Jessica|"
+    "Thomas|Sarah|Charles|Karen|Daniel|Nancy|Matthew|Lisa|Anthony|Emily|Peter|Anna|Maria|Laura|Julia|Paul|George|Alice"
+)
+PLACE_WORDS = "Street|Avenue|Road|Lane|University|College|Hospital|Park|Square|River|Lake|Island|County|School|Church"
+
+# A joined run starts only where no earlier part of it stands, so each is read once.
+RUN = (
+    r"(?<![A-Za-z0-9])(?<![A-Za-z0-9][-_/+.])(?=[A-Za-z0-9_/+.-]{8})"
+    r"(?=[A-Za-z]*+(?:[-_/+.][A-Za-z]++)*+[-_/+.]?[0-9])[A-Za-z0-9]++(?:[-_/+.][A-Za-z0-9]++)*+={0,2}"
+)
+HINTED_END = rf"(?<![A-Za-z0-9])(?i:{PHRASE_WORDS}|token|key|apikey|login|auth)[\"']?[\x20]{{0,2}}[=:][\x20]{{0,2}}[\"']?"
+HINTED = rf"(?<=[=:\x20\"'])(?<=[=:][\x20]{{0,2}}[\"']?)(?<={HINTED_END})[^\s\"',;<>=:\[\]]{{4,}}+"
+GROUPS = (
+    r"(?<![0-9A-Za-z$.,/+-])(?<![0-9]\x20)(?:\([0-9]{2,5}\)[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,5}"
+    r"|[0-9]{3}\x20[0-9]{3}\x20[0-9]{4}|[0-9]{3}\x20[0-9]{2}\x20[0-9]{4}"
+    r"|(?=(?:[0-9][-.]?){7})[0-9]{1,5}(?:[-.][0-9]{2,7}){1,4}+)(?![0-9A-Za-z]|[\x20.-][0-9])"
+)
+_CAPITAL = r"\p{Lu}[\p{L}'’-]{1,30}+"
+NAME = (
+    rf"(?<![\p{{L}}0-9])(?:(?<=(?<![\p{{L}}])(?:{TITLES})\.?\x20){_CAPITAL}(?:\x20{_CAPITAL}){{0,2}}+"
+    rf"|(?=\p{{Lu}})(?:{GIVEN_NAMES})\x20{_CAPITAL})"
+)
+CANDIDATE = rf"{HINTED}|{NAME}|{GROUPS}|{RUN}"
 
 KINDS = ("email", "ip", "card", "phone")
-ADDED = "secret"
+ADDED = ("secret", "password", "number", "name")
 #: Characters before a candidate that labelers see.
 CONTEXT = 32
 #: Buckets for the word before a candidate.
 WORDS_BEFORE = 32
 
-HINT_WORDS = "password|passwd|pwd|passphrase|token|secret|key|apikey|bearer|credential|credentials|auth|login|access"
-PLAIN_WORDS = "version|page|chapter|figure|section|article|release|build|isbn|model|issue|line"
-
 _BLOCK = 512
 
 
@@ -151,30 +181,52 @@ def with_base(df: DataFrame, text: str, name: str) -> DataFrame:
     return df.withColumn(name, F.array_sort(F.concat(*own.values()))).drop(*own.values())
 
 
+def _kind(c: Column) -> Column:
+    """The kind that a candidate might be, null where it can be none."""
+    match, before = c["match"], c["before"]
+    digit, letter = match.rlike("[0-9]"), match.rlike("[A-Za-z]")
+    key = digit & letter & match.rlike(r"^[A-Za-z0-9_/+.=-]{12,}$")
+    return (
+        F.when(before.rlike(f"{HINTED_END}$") & ~key, "password")
+        .when(digit & letter & (F.length(match) >= 8), "secret")
+        .when(digit & ~letter & match.rlike("[\\x20().-]"), "number")
+        .when(~digit & match.rlike(r"^\p{Lu}") & before.rlike(r"(?:^|\s)$"), "name")
+    )
+
+
 def with_candidates(df: DataFrame, text: str, base: str, name: str) -> DataFrame:
-    """Add the candidates, with votes and features, that no fixed span overlaps."""
-    df = _found(df, text, RUN, name)
+    """Add the candidates, with kind, votes and features, that no fixed span overlaps."""
+    df = _found(df, text, CANDIDATE, name)
     free = _let(
         F.col(base),
         lambda spans: F.filter(
-            F.filter(name, lambda c: c["match"].rlike("[A-Za-z]")),
-            lambda c: ~F.exists(spans, lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"])),
+            name, lambda c: ~F.exists(spans, lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"]))
         ),
     )
-    described = F.transform(
-        free,
-        lambda c: F.struct(
+    named = F.filter(
+        F.transform(free, lambda c: c.withField("kind", _kind(c))), lambda c: c["kind"].isNotNull()
+    )
+
+    def described(c: Column) -> Column:
+        votes = F.coalesce(*(F.when(c["kind"] == k, F.array_join(F.array(*_votes(c, k)), ",")) for k in ADDED))
+        return F.struct(
             c["start"].alias("start"),
             c["end"].alias("end"),
-            F.array_join(F.array(*_votes(c)), ",").alias("votes"),
-            F.array(*_features(c)).alias("features"),
-        ),
-    )
-    return df.withColumn(name, described)
+            c["kind"].alias("kind"),
+            votes.alias("votes"),
+            F.transform(F.array(*_features(c)), lambda f: F.concat(c["kind"], F.lit("|"), f)).alias("features"),
+        )
+
+    return df.withColumn(name, F.transform(named, described))
+
+
+def _share(c: Column, other: str) -> Column:
+    """The share of characters that remain when all ``other`` ones go."""
+    return F.length(F.regexp_replace(c["match"], other, "")) / F.length(c["match"])
 
 
-def _digit_share(c: Column) -> Column:
-    return F.length(F.regexp_replace(c["match"], "[^0-9]", "")) / F.length(c["match"])
+def _digits(c: Column) -> Column:
+    return F.length(F.regexp_replace(c["match"], "[^0-9]", ""))
 
 
 def _changes(c: Column) -> Column:
@@ -182,47 +234,97 @@ def _changes(c: Column) -> Column:
     return F.regexp_count(c["match"], F.lit("[A-Za-z][0-9]|[0-9][A-Za-z]"))
 
 
+def _plain_parts(c: Column) -> Column:
+    """How many parts of a joined run look like written words."""
+    return F.regexp_count(c["match"], F.lit("(?<![A-Za-z0-9])[A-Za-z][a-z]{2,}(?![A-Za-z0-9])"))
+
+
 def _word_before(c: Column) -> Column:
-    return F.lower(F.regexp_extract(c["before"], r"([A-Za-z_]+)[^A-Za-z]{0,5}$", 1))
-
-
-def _votes(c: Column) -> list[Column]:
-    """1 for a secret, -1 against, 0 for none."""
-    match, before, share = c["match"], c["before"], _digit_share(c)
-    shape = match.rlike("^(?:AKIA[0-9A-Z]{16}|[0-9a-f]{16,}|[0-9A-F]{32,})$")
-    word = F.regexp_extract(F.lower(before), r"([a-z]+)[^a-z]{0,5}$", 1)
-    votes = (
-        F.when(shape, 1).when(F.length(match) < 16, -1).otherwise(0),
-        F.when(word.rlike(f"^(?:{HINT_WORDS})$"), 1).when(word.rlike(f"^(?:{PLAIN_WORDS})$"), -1).otherwise(0),
-        F.when(before.rlike(r"[=:]\s?[\"']?$"), 1).when(before.rlike(r"[/#?&.@-]$"), -1).otherwise(0),
-        F.when(share.between(0.15, 0.8), 1).when((share < 0.1) | (share > 0.9), -1).otherwise(0),
-        F.when(_changes(c) >= 3, 1).when(_changes(c) <= 1, -1).otherwise(0),
-    )
+    return F.lower(F.regexp_extract(c["before"], r"([A-Za-z]+)[^A-Za-z]{0,5}$", 1))
+
+
+def _is(word: Column, words: str) -> Column:
+    return word.rlike(f"^(?:{words})$")
+
+
+def _for_against(yes: Column, no: Column) -> Column:
+    return F.when(yes, 1).when(no, -1).otherwise(0)
+
+
+def _votes(c: Column, kind: str) -> list[Column]:
+    """What each labeler of a kind says: 1 for, -1 against, 0 nothing."""
+    match, before, word, size = c["match"], c["before"], _word_before(c), F.length(c["match"])
+    if kind == "secret":
+        share = _share(c, "[^0-9]")
+        shape = match.rlike(
+            "^(?:AKIA[0-9A-Z]{16}|[0-9a-f]{16,}|[0-9A-F]{32,}|(?:sk|pk|rk|gh[opsu]|xox[abp])[-_].{8,}|eyJ.{20,}"
+            "|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12})$"
+        )
+        votes = (
+            _for_against(shape, size < 16),
+            _for_against(_is(word, HINT_WORDS), _is(word, PLAIN_WORDS)),
+            _for_against(before.rlike(r"[=:]\s?[\"']?$"), before.rlike(r"[/#?&.@-]$")),
+            _for_against(share.between(0.15, 0.8), (share < 0.1) | (share > 0.9)),
+            _for_against(_changes(c) >= 3, _changes(c) <= 1),
+            _for_against(match.rlike("^[A-Za-z0-9]{20,}$"), _plain_parts(c) >= 2),
+        )
+    elif kind == "password":
+        votes = (
+            _for_against(_is(word, PHRASE_WORDS), _is(word, PLAIN_WORDS)),
+            _for_against(before.rlike(r"=\s?[\"']?$|[\"']$"), before.rlike(r":\s{2}$")),
+            _for_against(match.rlike("[0-9]") & match.rlike("[^0-9]"), match.rlike("^[a-z]+[.!?]?$")),
+            _for_against(size >= 6, size < 5),
+            _for_against(match.rlike(r"[^\w.]"), _is(F.lower(match), "none|null|true|false|your|this|that|required|optional")),
+        )
+    elif kind == "number":
+        digits = _digits(c)
+        shape = match.rlike(
+            r"^(?:\([0-9]{3}\)[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}|(?:1[-.])?[0-9]{3}([-.\x20])[0-9]{3}\1[0-9]{4}"
+            r"|[0-9]{3}[-\x20][0-9]{2}[-\x20][0-9]{4})$"
+        )
+        date = match.rlike(r"^(?:(?:1[0-9]|20)[0-9]{2}[-.][0-9]{2}[-.][0-9]{2}|[0-9]{1,2}[-.][0-9]{1,2}[-.][0-9]{4})$")
+        votes = (
+            _for_against(shape, date),
+            _for_against(_is(word, NUMBER_WORDS), _is(word, PLAIN_WORDS)),
+            _for_against(digits.between(9, 11), (digits < 7) | (digits > 12)),
+            _for_against(match.rlike(r"^\(|^[0-9]+-[0-9]+-[0-9]+"), match.rlike(r"^[0-9]+\.[0-9]+$|^[0-9]+(?:\.[0-9]+){3,}$")),
+            _for_against(before.rlike(r"[:#]\s?$"), c["after"].rlike("^[%/]") | before.rlike(r"[$%=*^/]\s?$")),
+        )
+    else:
+        last = F.regexp_extract(match, r"([^\x20]+)$", 1)
+        votes = (
+            _for_against(before.rlike(rf"(?<!\p{{L}})(?:{TITLES})\.?\x20$"), before.rlike(r"(?:^|\s)(?i:the|in|at|of)\s$")),
+            _for_against(match.rlike(rf"^(?:{GIVEN_NAMES})(?:\x20|$)"), match.rlike(r"^(?:The|This|That|It|He|She|I|In|On)(?:\x20|$)")),
+            _for_against(match.rlike(r"\x20"), size < 3),
+            _for_against(_is(word, f"{TITLES}|{NAME_WORDS}".lower()), _is(last, PLACE_WORDS)),
+        )
     return [v.cast("string") for v in votes]
 
 
 def _features(c: Column) -> list[Column]:
     match = c["match"]
-    upper = F.length(F.regexp_replace(match, "[^A-Z]", "")) / F.length(match)
     bucket = F.pmod(F.crc32(_word_before(c).cast("binary")), F.lit(WORDS_BEFORE))
     return [
         F.concat(F.lit("len="), F.least(F.floor(F.length(match) / 4), F.lit(16)).cast("string")),
-        F.concat(F.lit("digit="), F.floor(_digit_share(c) * 8).cast("string")),
-        F.concat(F.lit("upper="), F.floor(upper * 8).cast("string")),
+        F.concat(F.lit("digit="), F.floor(_share(c, "[^0-9]") * 8).cast("string")),
+        F.concat(F.lit("upper="), F.floor(_share(c, "[^A-Z]") * 8).cast("string")),
         F.concat(F.lit("turns="), F.least(_changes(c), F.lit(12)).cast("string")),
+        F.concat(F.lit("words="), F.least(_plain_parts(c), F.lit(4)).cast("string")),
         F.concat(F.lit("word="), bucket.cast("string")),
         F.concat(F.lit("mark="), F.regexp_extract(c["before"], r"([=:\"'/#?&.@-])\s?$", 1)),
-        F.concat(F.lit("hex="), match.rlike("^[0-9a-fA-F]+$").cast("string")),
+        F.concat(F.lit("hex="), match.rlike("^[0-9a-fA-F-]+$").cast("string")),
+        F.concat(F.lit("first="), F.regexp_replace(F.regexp_replace(F.left(match, F.lit(1)), "[0-9]", "0"), r"\p{L}", "a")),
+        F.concat(F.lit("groups="), F.least(F.size(F.split(match, r"[\x20.-]")), F.lit(6)).cast("string")),
     ]
 
 
 @dataclass(frozen=True)
 class Model:
-    """A labeler's chance of each vote given the truth, and the classifier's weights."""
+    """For each kind how often its candidates are true, and each labeler's chance of each
+    vote given the truth; the classifier's weights, the constant of a kind among them."""
 
-    prior: float
-    reliability: tuple[tuple[dict[int, float], dict[int, float]], ...]
-    bias: float
+    prior: dict[str, float]
+    reliability: dict[str, tuple[tuple[dict[int, float], dict[int, float]], ...]]
     weights: dict[str, float]
 
 
@@ -262,21 +364,28 @@ def fit(docs: DataFrame) -> Model | None:
     rows = docs.select(text_of().alias("_text"))
     rows = with_candidates(with_base(rows, "_text", "_base"), "_text", "_base", "_cand")
     each = rows.select(F.explode("_cand").alias("c")).select(
-        F.col("c.votes").alias("votes"), F.explode(F.concat(F.array(F.lit("all")), "c.features")).alias("feature")
+        "c.kind", "c.votes", F.explode(F.concat(F.array(F.lit("all")), "c.features")).alias("feature")
     )
-    # at most 3^5 vote patterns by about 120 features
-    counted = [(r["votes"], r["feature"], float(r["count"])) for r in each.groupBy("votes", "feature").count().collect()]
+    # per kind at most 3^6 vote patterns by about 150 features
+    counted = [tuple(r) for r in each.groupBy("kind", "votes", "feature").count().collect()]
     if not counted:
         return None
-    chance, prior, tables = estimate({v: n for v, f, n in sorted(counted) if f == "all"})
-    true: dict[str, float] = {}
-    false: dict[str, float] = {}
-    for votes, feature, n in sorted(counted):
-        true[feature] = true.get(feature, 0.0) + n * chance[votes]
-        false[feature] = false.get(feature, 0.0) + n * (1 - chance[votes])
-    yes, no = true.pop("all"), false.pop("all")
-    weights = {f: math.log((true[f] + 0.5) / (yes + 1)) - math.log((false[f] + 0.5) / (no + 1)) for f in true}
-    return Model(prior, tables, math.log((yes + 1) / (no + 1)), weights)
+    model = Model({}, {}, {})
+    for kind in ADDED:
+        own = sorted((v, f, float(n)) for k, v, f, n in counted if k == kind)
+        if not own:
+            continue
+        chance, model.prior[kind], model.reliability[kind] = estimate({v: n for v, f, n in own if f == "all"})
+        true: dict[str, float] = {}
+        false: dict[str, float] = {}
+        for votes, feature, n in own:
+            true[feature] = true.get(feature, 0.0) + n * chance[votes]
+            false[feature] = false.get(feature, 0.0) + n * (1 - chance[votes])
+        yes, no = true.pop("all"), false.pop("all")
+        model.weights[kind] = math.log((yes + 1) / (no + 1))
+        for f in true:
+            model.weights[f] = math.log((true[f] + 0.5) / (yes + 1)) - math.log((false[f] + 0.5) / (no + 1))
+    return model
 
 
 def with_spans(df: DataFrame, model: Model | None, text: str, base: str, name: str) -> DataFrame:
@@ -291,11 +400,18 @@ def with_spans(df: DataFrame, model: Model | None, text: str, base: str, name: s
     taken = F.filter(
         candidates,
         lambda c: F.aggregate(
-            c["features"], F.lit(model.bias), lambda a, f: a + F.coalesce(F.element_at(weights, f), F.lit(0.0))
+            F.concat(F.array(c["kind"]), c["features"]), F.lit(0.0), lambda a, f: a + F.coalesce(F.element_at(weights, f), F.lit(0.0))
         )
         > 0,
     )
-    return df.withColumn(name, F.array_sort(F.concat(F.col(base), _plain(taken, ADDED, len(KINDS))))).drop(candidates)
+    ranks = F.create_map(*(F.lit(x) for i, k in enumerate(ADDED) for x in (k, len(KINDS) + i)))
+    added = F.transform(
+        taken,
+        lambda c: F.struct(
+            c["start"].alias("start"), F.element_at(ranks, c["kind"]).alias("rank"), c["end"].alias("end"), c["kind"].alias("kind")
+        ),
+    ).cast(_SPAN)
+    return df.withColumn(name, F.array_sort(F.concat(F.col(base), added))).drop(candidates)
 
 
 def joined(spans: str) -> Column:
@@ -314,6 +430,7 @@ def find(docs: DataFrame, model: Model | None) -> DataFrame:
         *map(number, KINDS),
         F.sha2(joined("_base"), 256).alias("base_sha256"),
         joined("_spans").alias("spans"),
+        F.size("_spans").cast("long").alias("n_spans"),
     )
 
 
