@@ -1,40 +1,50 @@
-"""Language-model scores from Elias-Fano levels of all n-grams.
+"""Language-model scores from an Elias-Fano trie of all n-grams.
 
 Every word, pair and triple of words of the training documents counts; none is merged or
-dropped. A node of the trie is named by the hash of its path, and the nodes are dealt out
-by ranges of that hash. A shard keeps its nodes as one rising sequence in Elias-Fano form,
-whose high parts are monotone pointers and whose low parts are packed bits, with a count
-for each. A lookup jumps to a value's bucket by its high part and searches the few
-successors there.
+dropped. The trie is dealt out by ranges of the hash of a context, so that all that
+follows one context stands together. A shard of a level holds its contexts as a rising
+Elias-Fano sequence, a monotone sequence of pointers from each context to its first
+successor, the successors, and a quantised log probability for each. A context's
+successors begin anew at the value that the context before ends with, so the whole level
+rises, and a successor can only be searched relative to its context: find the context,
+follow its pointers, add the base that stands before them, search between them.
 
 Documents are cut into chunks of a bounded number of tokens. A chunk sends each of its
 distinct nodes to its shard once, with how often its training documents hold it. The
-shard adds up, builds its level and answers with the counts; a chunk's answers meet its
+shard adds up, smooths and quantises, writes its levels as one file in the shared folder,
+maps that file into memory and answers every chunk from it; a chunk's answers meet its
 tokens again. So a hot word is asked for once a chunk, the number of shards grows with
-the text, and no worker holds more than one shard or one chunk.
+the text, and no worker holds more than one shard or one chunk. A context that many words
+follow is split by its successors into as many contexts as there are shards.
 
 The model is a hierarchy of Dirichlet priors: add-one words, smoothed into pairs, these
-into triples. A word that follows a context has its probability from exact counts.
+into triples. What a level keeps of a pair or triple is the log of its joint probability,
+in steps of 1/4096 of a decade in two bytes, so a token's log10 probability is off by at
+most 2.5e-4. Counts of words, and the base score from them, are exact.
 
 Defined cases: a null text is empty and has only its end token; a null id is the empty
 text, so its remainder is 0 and it trains; repeated rows count as often as they occur;
 with no training document every token is unknown; an empty table gives no rows; other
-columns are not read. Counts are exact up to collisions of 61-bit hashes.
+columns are not read. Word counts are exact up to collisions of 61-bit hashes; pairs and
+triples are told apart by 29 bits of their context and 32 of their own path, and a context
+that is split adds the bits of the split.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspark.llm.common import text_of, written
+from reelspark.llm.common import shared_folder, text_of, written
 
 FOLDS, HELD_OUT = 7, 2
 #: Tokens of a chunk; longer documents are cut.
@@ -47,6 +57,13 @@ LEVELS = ((0, 1), (2,))
 PRIOR = 4.0
 #: Words whose hashes a task keeps at hand.
 WORDS = 400_000
+#: Low bits of a node's name that tell successors apart; the bits above name the context.
+SUCCESSOR_BITS = 34
+#: A context is split if its word is more than one in so many tokens (at most twice as
+#: many words are; of a chunk only such words are told).
+HOT = 512
+#: Steps of a decade in which log probabilities are kept.
+STEPS = 4096
 
 #: Whether Spark drops a query's shuffle files as soon as the query ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -125,6 +142,16 @@ class EliasFano:
         np.bitwise_or.at(low, word[over] + 1, rest[over] >> (np.uint64(64) - off[over]))
         return cls(low_bits, n, low, high)
 
+    @property
+    def arrays(self) -> list[np.ndarray]:
+        return [np.array([self.low_bits, self.count], "<u8"), self.low, self.high]
+
+    @classmethod
+    def over(cls, arrays: list[np.ndarray]) -> EliasFano:
+        """The sequence over arrays as ``arrays`` gives them, without a copy."""
+        (low_bits, count), low, high = arrays
+        return cls(int(low_bits), int(count), low, high)
+
     def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.low_bits:
             return np.zeros(len(at), dtype=np.int64)
@@ -143,6 +170,19 @@ class EliasFano:
         seen = np.cumsum(1 - bits, axis=1)
         return np.where(k > 0, word * 64 + (seen < left[:, None]).sum(axis=1) + 1, 0)
 
+    def get(self, at: np.ndarray) -> np.ndarray:
+        """The values at these places."""
+        out = np.empty(len(at), dtype=np.int64)
+        ones = np.arange(len(self._zeros), dtype=np.int64) * 64 - self._zeros
+        for begin in range(0, len(at), 1 << 16):
+            k = at[begin : begin + (1 << 16)]
+            word = np.searchsorted(ones, k, side="right") - 1
+            bits = np.unpackbits(self.high[word].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            seen = np.cumsum(bits, axis=1, dtype=np.uint8)
+            place = word * 64 + (seen <= (k - ones[word])[:, None]).sum(axis=1)
+            out[begin : begin + (1 << 16)] = ((place - k) << self.low_bits) | self._low(k)
+        return out
+
     def values(self) -> np.ndarray:
         """The whole sequence."""
         at = np.arange(self.count, dtype=np.int64)
@@ -152,6 +192,12 @@ class EliasFano:
     def find(self, values: np.ndarray) -> np.ndarray:
         """The index of each value, -1 where it is absent."""
         out = np.full(len(values), -1, dtype=np.int64)
+        # beyond the last step there is nothing
+        steps = self._zeros[-1]
+        inside = np.flatnonzero((values >= 0) & (values >> self.low_bits <= steps))
+        if len(inside) < len(values):
+            out[inside] = self.find(values[inside])
+            return out
         for begin in range(0, len(values) if self.count else 0, 1 << 16):
             v = values[begin : begin + (1 << 16)]
             step = v >> self.low_bits
@@ -174,6 +220,104 @@ class EliasFano:
         return out
 
 
+class Level:
+    """The nodes of two or three words of a shard: contexts, pointers to their successors,
+    successors, and the code of each."""
+
+    PARTS = 11
+
+    def __init__(self, arrays: list[np.ndarray]):
+        self.first = int(arrays[0][0])
+        self.contexts, self.pointers, self.successors = (EliasFano.over(arrays[i : i + 3]) for i in (1, 4, 7))
+        self.codes = arrays[10].view("<u2")
+
+    @classmethod
+    def arrays_of(cls, names: np.ndarray, codes: np.ndarray) -> list[np.ndarray]:
+        """What a level of these rising names consists of."""
+        context, successor = _parts(names)
+        begin = np.flatnonzero(np.append(len(names) > 0, context[1:] != context[:-1])[: len(names)])
+        contexts, ends = context[begin], np.append(begin[1:], len(names))
+        # each context goes on from the last value of the one before
+        last = successor[ends - 1] if len(begin) else begin
+        base = np.cumsum(last) - last
+        values = successor + np.repeat(base, ends - begin)
+        first = int(contexts[0]) if len(contexts) else 0
+        pointers = np.append(begin, len(names))
+        padded = np.zeros(-(-len(codes) // 4) * 4, "<u2")
+        padded[: len(codes)] = codes
+        rising = (contexts - first, pointers, values)
+        sequences = [EliasFano.of(v, int(v[-1]) if len(v) else 0).arrays for v in rising]
+        return [np.array([first], "<u8"), *(a for part in sequences for a in part), padded.view("<u8")]
+
+    def find(self, names: np.ndarray) -> np.ndarray:
+        """The code of each of the rising names, -1 where it is absent."""
+        context, successor = _parts(names)
+        own, back = np.unique(context, return_inverse=True)
+        place = self.contexts.find(own - self.first)
+        known = np.flatnonzero(place >= 0)
+        begin, end, base = (np.zeros(len(own), dtype=np.int64) for _ in range(3))
+        begin[known] = self.pointers.get(place[known])
+        end[known] = self.pointers.get(place[known] + 1)
+        later = known[begin[known] > 0]
+        base[later] = self.successors.get(begin[later] - 1)
+        out = np.full(len(names), -1, dtype=np.int64)
+        asked = np.flatnonzero(place[back] >= 0)
+        of = back[asked]
+        at = self.successors.find(base[of] + successor[asked])
+        hit = (at >= begin[of]) & (at < end[of])
+        out[asked[hit]] = self.codes[at[hit]]
+        return out
+
+
+def _parts(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The context of a name, and its successor there, from 1."""
+    return names >> SUCCESSOR_BITS, (names & ((1 << SUCCESSOR_BITS) - 1)) + 1
+
+
+def codes_of(counts: np.ndarray, n: int) -> np.ndarray:
+    """Log probabilities in steps, two bytes each."""
+    return np.clip(np.rint(-np.log10(counts / max(n, 1)) * STEPS), 0, 65534).astype(np.uint16)
+
+
+def masses(codes: np.ndarray, n: int) -> np.ndarray:
+    """How often codes say that their nodes occur, 0 for -1."""
+    return np.where(codes >= 0, n * 10.0 ** (-codes / STEPS), 0.0)
+
+
+def levels_blob(words: np.ndarray, counts: np.ndarray, deeper: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
+    """A shard's words with their counts, and levels of names and codes, as one file."""
+    arrays = [*EliasFano.of(words, int(words[-1]) if len(words) else 0).arrays, counts.astype("<u8")]
+    for names, codes in deeper:
+        arrays += Level.arrays_of(names, codes)
+    sizes = np.array([len(arrays), *map(len, arrays)], "<u8")
+    return b"".join(a.astype("<u8", copy=False).tobytes() for a in (sizes, *arrays))
+
+
+def levels_over(whole: np.ndarray) -> tuple[EliasFano, np.ndarray, list[Level]]:
+    """The words, their counts, and the levels of a file, without a copy."""
+    number = int(whole[0])
+    cuts = np.cumsum(np.append(number + 1, whole[1 : number + 1].astype(np.int64)))
+    arrays = [whole[b:e] for b, e in zip(cuts[:-1], cuts[1:])]
+    deeper = [Level(arrays[i : i + Level.PARTS]) for i in range(4, len(arrays), Level.PARTS)]
+    return EliasFano.over(arrays[:3]), arrays[3].view("<i8"), deeper
+
+
+def keep_file(folder: str, name: str, blob: bytes) -> np.ndarray:
+    """Write a file of the shared folder in one step, so that a repeated task replaces it
+    whole, and map it into memory. Where the folder is no mounted one, it is read."""
+    files, path = pa.fs.FileSystem.from_uri(folder)
+    files.create_dir(path, recursive=True)
+    part = f"{path}/{name}-{uuid.uuid4().hex}"
+    with files.open_output_stream(part) as out:
+        out.write(blob)
+    files.move(part, f"{path}/{name}")
+    if isinstance(files, pa.fs.LocalFileSystem):
+        mapped = pa.memory_map(f"{path}/{name}")
+        return np.frombuffer(mapped.read_buffer(), "<u8")
+    with files.open_input_file(f"{path}/{name}") as file:
+        return np.frombuffer(file.read_buffer(), "<u8")
+
+
 def _packed(values: np.ndarray, universe: int) -> bytes:
     level = EliasFano.of(values, universe)
     return np.array([level.low_bits, level.count, len(level.low)], "<u8").tobytes() + level.low.tobytes() + level.high.tobytes()
@@ -185,11 +329,11 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return EliasFano(low_bits, count, whole[3 : 3 + size], whole[3 + size :]).values()
 
 
-def _joined(left: np.ndarray, right: np.ndarray, order: int) -> np.ndarray:
+def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     h = (left.astype(np.uint64) * _MIX[0]) ^ right.astype(np.uint64)
     h = (h ^ (h >> np.uint64(32))) * _MIX[1]
     h = (h ^ (h >> np.uint64(29))) * _MIX[0]
-    return _node((h ^ (h >> np.uint64(32))).view(np.int64) & _HASH, order)
+    return (h ^ (h >> np.uint64(32))).view(np.int64) & _HASH
 
 
 def _node(h: np.ndarray, order: int) -> np.ndarray:
@@ -197,15 +341,27 @@ def _node(h: np.ndarray, order: int) -> np.ndarray:
     return (h & ~np.int64(3)) | order
 
 
-def nodes(words: np.ndarray) -> np.ndarray:
+def nodes(words: np.ndarray, hot: np.ndarray, splits: int) -> np.ndarray:
     """The nodes of each place: word, pair with the word before, triple with the two
     before (three rows). The first place has no pair, the first two have no triple; there
-    the shorter node stands."""
+    the shorter node stands. The high bits of pairs and triples name their context; those
+    of hot words are split by the word that follows."""
     one = _node(words, 1)
     two, three = one.copy(), one.copy()
-    two[1:] = _joined(words[:-1], words[1:], 2)
+    often = np.isin(words, hot)
+    split = words % splits + 1
+    low = np.int64((1 << SUCCESSOR_BITS) - 1)
+
+    def below(context: np.ndarray, path: np.ndarray, splitting: np.ndarray, order: int) -> np.ndarray:
+        high = _mixed(context, np.where(splitting, split[-len(context) :], 0))
+        return _node((high & ~low) | (path & low), order)
+
+    pairs = _mixed(words[:-1], words[1:])
+    two[1:] = below(words[:-1], pairs, often[:-1], 2)
     three[:2] = two[:2]
-    three[2:] = _joined(two[1:-1], words[2:], 3)
+    if len(words) > 2:
+        triples = _mixed(pairs[:-1], words[2:])
+        three[2:] = below(pairs[:-1], triples, often[:-2] & often[1:-1], 3)
     return np.stack([one, two, three])
 
 
@@ -216,11 +372,13 @@ def _places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return piece, np.arange(sizes.sum()) - begin[piece]
 
 
-def _asked(words: np.ndarray, sizes: np.ndarray, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _asked(
+    words: np.ndarray, sizes: np.ndarray, leads: np.ndarray, hot: np.ndarray, splits: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The nodes of a chunk's tokens, whether a token is more than what leads its piece
     in, and its piece."""
     piece, place = _places(sizes)
-    every = nodes(words)
+    every = nodes(words, hot, splits)
     # nodes do not reach into the piece before
     every[1:, place == 0] = every[0, place == 0]
     every[2, place == 1] = every[1, place == 1]
@@ -242,6 +400,7 @@ def chunks(docs: DataFrame) -> DataFrame:
             order = np.argsort(-times, kind="stable")
             rank = np.empty_like(order)
             rank[order] = np.arange(len(order))
+            often = times * 2 * HOT > len(words)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([(task << 32) | number], pa.int64()),
@@ -251,8 +410,11 @@ def chunks(docs: DataFrame) -> DataFrame:
                     pa.array([[len(h) for *_, h in held]], pa.list_(pa.int32())),
                     pa.array([found[order].astype("<i8").tobytes()], pa.binary()),
                     pa.array([zlib.compress(_planes(rank[code], "<u4"), 1)], pa.binary()),
+                    pa.array([found[often].tolist()], pa.list_(pa.int64())),
+                    pa.array([times[often].tolist()], pa.list_(pa.int64())),
+                    pa.array([sum(len(h) - n for _, d, n, h in held if trains(d))], pa.int64()),
                 ],
-                names=["chunk", "rows", "ids", "leads", "sizes", "words", "codes"],
+                names=["chunk", "rows", "ids", "leads", "sizes", "words", "codes", "often", "times", "learnt"],
             )
 
         for batch in batches:
@@ -274,9 +436,19 @@ def chunks(docs: DataFrame) -> DataFrame:
             yield flush()
 
     schema = "chunk long, rows array<long>, ids array<long>, leads array<int>, sizes array<int>, words binary, codes binary"
+    schema += ", often array<long>, times array<long>, learnt long"
     return written(_rows(docs).mapInArrow(cut, schema), "chunks")
 
 
+def hot_words(cut: DataFrame) -> np.ndarray:
+    """All words that are more than one in HOT tokens, and at most 2 * HOT in all: such a
+    word is more than half as frequent over the chunks that tell of it."""
+    total = cut.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    told = cut.select(F.explode(F.arrays_zip("often", "times")).alias("t")).groupBy("t.often")
+    hot = told.agg(F.sum("t.times").alias("n")).where(F.col("n") * 2 * HOT > total)
+    return np.array(sorted(r["often"] for r in hot.collect()), dtype=np.int64)
+
+
 def _distinct(every: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct nodes of a level, and the index of each."""
     own = every[list(LEVELS[level])]
@@ -288,9 +460,11 @@ def _words(words: bytes, codes: bytes) -> np.ndarray:
     return np.frombuffer(words, dtype="<i8")[_numbers(zlib.decompress(codes), "<u4")]
 
 
-def node_counts(cut: DataFrame, shards: int, level: int) -> DataFrame:
-    """For each chunk and shard the counts of the chunk's nodes of a level, in their order.
-    For each shard also, as chunk -1, how many words and tokens it holds."""
+def node_answers(cut: DataFrame, shards: int, level: int, hot: np.ndarray, n: int, folder: str) -> DataFrame:
+    """For each chunk and shard what the shard's levels, kept as a file in the folder, say
+    of the chunk's nodes, in their order: of a word its count, of others 1 more than
+    their code, 0 where absent. For each shard also, as chunk -1, how many words and
+    tokens it holds."""
     width = -(-(1 << 63) // shards)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +472,7 @@ def node_counts(cut: DataFrame, shards: int, level: int) -> DataFrame:
             columns = (batch[c].to_pylist() for c in ("chunk", "ids", "leads", "sizes", "words", "codes"))
             for chunk, ids, leads, sizes, words, codes in zip(*columns):
                 leads, sizes = np.array(leads), np.array(sizes)
-                every, inside, piece = _asked(_words(words, codes), sizes, leads)
+                every, inside, piece = _asked(_words(words, codes), sizes, leads, hot, shards)
                 keys, back = _distinct(every, level)
                 learnt = np.array([trains(d) for d in ids])[piece]
                 counted, place = inside & learnt, _places(sizes)[1]
@@ -330,12 +504,20 @@ def node_counts(cut: DataFrame, shards: int, level: int) -> DataFrame:
                 times.append(_numbers(zlib.decompress(t), "<u4"))
         wanted, back = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(back, np.concatenate(times), len(wanted)).astype(np.int64)
-        stored = EliasFano.of(wanted[total > 0], width)
-        counts = np.append(total[total > 0], 0)
-        # an absent node has the last place, and no count
-        found = counts[stored.find(wanted)]
-        names = wanted + shard * width
-        word = (names & 3 == 1) & (found > 0) & (names != _node(np.int64(START), 1))
+        names, seen = wanted + shard * width, total > 0
+        order = names & 3
+        own = [np.flatnonzero(order == k) for k in range(4)]
+        kept = [at[seen[at]] for at in own]
+        blob = levels_blob(
+            wanted[kept[1]], total[kept[1]], [(names[kept[k]], codes_of(total[kept[k]], n)) for k in (2, 3)]
+        )
+        words, counts, deeper = levels_over(keep_file(folder, f"level{level}-{shard:08d}", blob))
+        # an absent word has the last place, and no count
+        found = np.zeros(len(names), dtype=np.int64)
+        found[own[1]] = np.append(counts, 0)[words.find(wanted[own[1]])]
+        for k, stored in zip((2, 3), deeper):
+            found[own[k]] = stored.find(names[own[k]]) + 1
+        word = (order == 1) & (found > 0) & (names != _node(np.int64(START), 1))
         cuts = np.cumsum([0, *(len(k) for k in keys)])
         blobs = [zlib.compress(_planes(found[back[b:e]]), 1) for b, e in zip(cuts[:-1], cuts[1:])]
         for at in range(0, len(who), 512):
@@ -374,7 +556,8 @@ def node_counts(cut: DataFrame, shards: int, level: int) -> DataFrame:
 
 def probabilities(counts: np.ndarray, before: np.ndarray, pairs: np.ndarray, n: int, v: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each place the probability of its word alone and in its context. counts: of word,
-    pair and triple; before: of the word before; pairs: of the pair before, -1 without."""
+    pair and triple; before: of the word before; pairs: of the pair before, -1 without.
+    Those of pairs and triples are what their codes stand for."""
     one = (counts[0] + 1) / (n + v + 1)
     two = (counts[1] + PRIOR * one) / (before + PRIOR)
     three = (counts[2] + PRIOR * two) / (np.maximum(pairs, 0) + PRIOR)
@@ -386,7 +569,9 @@ def score(docs: DataFrame) -> DataFrame:
     size = docs.select(F.sum(F.octet_length(text_of()))).first()[0] or 0
     cut = chunks(docs)
     shards = max(SHARDS, -(-size // SHARD_BYTES))
-    answers = [node_counts(cut, shards, level) for level in range(len(LEVELS))]
+    hot, learnt = hot_words(cut), cut.select(F.sum("learnt")).first()[0] or 0
+    folder = shared_folder(docs.sparkSession, "trie")
+    answers = [node_answers(cut, shards, level, hot, learnt, folder) for level in range(len(LEVELS))]
     sums = answers[0].where("chunk = -1").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n, v = sums["n"] or 0, sums["v"] or 0
 
@@ -400,11 +585,14 @@ def score(docs: DataFrame) -> DataFrame:
                 else:
                     parts[level][shard] = _numbers(zlib.decompress(blob))
         of, ids, leads, sizes, words, codes = own
-        every, inside, piece = _asked(_words(words, codes), np.array(sizes), np.array(leads))
-        counts = np.empty(every.shape, dtype=np.int64)
+        every, inside, piece = _asked(_words(words, codes), np.array(sizes), np.array(leads), hot, shards)
+        counts = np.empty(every.shape)
         for level, found in enumerate(parts):
             # shards are ranges, so their answers follow each other as the nodes do
-            counts[list(LEVELS[level])] = np.concatenate([found[s] for s in sorted(found)])[_distinct(every, level)[1]]
+            keys, back = _distinct(every, level)
+            said = np.concatenate([found[s] for s in sorted(found)])
+            said = np.where(keys & 3 == 1, said, masses(said - 1, n))
+            counts[list(LEVELS[level])] = said[back]
         at = np.flatnonzero(inside)
         place = _places(np.array(sizes))[1][at]
         here, before = counts[:, at], counts[0][at - 1]
@@ -425,7 +613,7 @@ def score(docs: DataFrame) -> DataFrame:
             }
         )
 
-    together = cut
+    together = cut.drop("often", "times", "learnt")
     for level, found in enumerate(answers):
         replies = found.where("chunk >= 0").select("chunk", F.lit(level).alias("level"), "shard", "counts")
         together = together.unionByName(replies, allowMissingColumns=True)
