@@ -51,8 +51,9 @@ FOLDS, HELD_OUT = 7, 2
 CHUNK = 1 << 19
 #: Bytes of text whose nodes a shard holds on average, and the least number of shards.
 SHARD_BYTES, SHARDS = 8 << 20, 128
-#: Which of a place's nodes (word, pair, triple) are counted in one shuffle.
-LEVELS = ((0, 1), (2,))
+#: Which of a place's nodes (word, pair, triple) are counted in one shuffle, and which half
+#: of their names, where not all: triples take two shuffles, each half the disk.
+ROUNDS = (((0, 1), None), ((2,), 0), ((2,), 1))
 #: Weight of the shorter context: so many observations of its distribution.
 PRIOR = 4.0
 #: Words whose hashes a task keeps at hand.
@@ -62,6 +63,8 @@ SUCCESSOR_BITS = 34
 #: A context is split if its word is more than one in so many tokens (at most twice as
 #: many words are; of a chunk only such words are told).
 HOT = 512
+#: Where more than one in so many values is asked for, a sequence is read once, in order.
+MANY = 8
 #: Steps of a decade in which log probabilities are kept.
 STEPS = 4096
 
@@ -114,6 +117,39 @@ def _numbers(blob: bytes, dtype: str = "<u8") -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(dtype).reshape(-1).astype(np.int64)
 
 
+def _select(words: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """The place of the k-th one (from 0) of each word, by bytes."""
+    parts = np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8)
+    upto = np.cumsum(np.bitwise_count(parts), axis=1, dtype=np.uint8)
+    byte = np.minimum((upto <= k[:, None]).sum(axis=1), 7)
+    row = np.arange(len(words))
+    bits = np.unpackbits(parts[row, byte][:, None], axis=1, bitorder="little")
+    left = k - np.where(byte > 0, upto[row, byte - 1], 0)
+    return byte * 8 + np.minimum((np.cumsum(bits, axis=1, dtype=np.uint8) <= left[:, None]).sum(axis=1), 7)
+
+
+def _pack(values: np.ndarray, bits: int) -> np.ndarray:
+    """Numbers of so many bits end to end, and a spare word."""
+    out = np.zeros(len(values) * bits // 64 + 2, dtype="<u8")
+    bit = np.arange(len(values), dtype=np.int64) * bits
+    word, off = bit >> 6, (bit & 63).astype(np.uint64)
+    values = values.astype(np.uint64)
+    np.bitwise_or.at(out, word, values << off)
+    over = (bit & 63) + bits > 64
+    np.bitwise_or.at(out, word[over] + 1, values[over] >> (np.uint64(64) - off[over]))
+    return out
+
+
+def _unpack(packed: np.ndarray, bits: int, at: np.ndarray) -> np.ndarray:
+    if not bits:
+        return np.zeros(len(at), dtype=np.int64)
+    bit = at * bits
+    word, off = bit >> 6, (bit & 63).astype(np.uint64)
+    first = packed[word] >> off
+    second = np.where(off > 0, packed[word + 1] << ((np.uint64(64) - off) & np.uint64(63)), np.uint64(0))
+    return ((first | second) & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
 class EliasFano:
     """A rising sequence: low bits packed, high bits as a bit vector of ones per value
     and zeros per step, with a count of zeros for each word of it."""
@@ -133,14 +169,7 @@ class EliasFano:
         vector = np.zeros(-(-length // 64) * 64, dtype=np.uint8)
         vector[ones] = 1
         high = np.packbits(vector, bitorder="little").view("<u8")
-        low = np.zeros(n * low_bits // 64 + 2, dtype="<u8")
-        rest = (values & ((1 << low_bits) - 1)).astype(np.uint64)
-        bit = at * low_bits
-        word, off = bit >> 6, (bit & 63).astype(np.uint64)
-        np.bitwise_or.at(low, word, rest << off)
-        over = (bit & 63) + low_bits > 64
-        np.bitwise_or.at(low, word[over] + 1, rest[over] >> (np.uint64(64) - off[over]))
-        return cls(low_bits, n, low, high)
+        return cls(low_bits, n, _pack(values & ((1 << low_bits) - 1), low_bits), high)
 
     @property
     def arrays(self) -> list[np.ndarray]:
@@ -153,35 +182,22 @@ class EliasFano:
         return cls(int(low_bits), int(count), low, high)
 
     def _low(self, at: np.ndarray) -> np.ndarray:
-        if not self.low_bits:
-            return np.zeros(len(at), dtype=np.int64)
-        bit = at * self.low_bits
-        word, off = bit >> 6, (bit & 63).astype(np.uint64)
-        first = self.low[word] >> off
-        second = np.where(off > 0, self.low[word + 1] << ((np.uint64(64) - off) & np.uint64(63)), np.uint64(0))
-        return ((first | second) & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
+        return _unpack(self.low, self.low_bits, at)
 
     def _after_zeros(self, k: np.ndarray) -> np.ndarray:
         """The place behind the k-th zero (k from 1), 0 for k = 0."""
-        word = np.searchsorted(self._zeros, k, side="left") - 1
-        word = np.maximum(word, 0)
-        left = k - self._zeros[word]
-        bits = np.unpackbits(self.high[word].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        seen = np.cumsum(1 - bits, axis=1)
-        return np.where(k > 0, word * 64 + (seen < left[:, None]).sum(axis=1) + 1, 0)
+        word = np.maximum(np.searchsorted(self._zeros, k, side="left") - 1, 0)
+        at = np.maximum(k - self._zeros[word] - 1, 0)
+        return np.where(k > 0, word * 64 + _select(~self.high[word], at) + 1, 0)
 
     def get(self, at: np.ndarray) -> np.ndarray:
         """The values at these places."""
-        out = np.empty(len(at), dtype=np.int64)
+        if len(at) * MANY > self.count:
+            return self.values()[at]
         ones = np.arange(len(self._zeros), dtype=np.int64) * 64 - self._zeros
-        for begin in range(0, len(at), 1 << 16):
-            k = at[begin : begin + (1 << 16)]
-            word = np.searchsorted(ones, k, side="right") - 1
-            bits = np.unpackbits(self.high[word].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            seen = np.cumsum(bits, axis=1, dtype=np.uint8)
-            place = word * 64 + (seen <= (k - ones[word])[:, None]).sum(axis=1)
-            out[begin : begin + (1 << 16)] = ((place - k) << self.low_bits) | self._low(k)
-        return out
+        word = np.searchsorted(ones, at, side="right") - 1
+        place = word * 64 + _select(self.high[word], at - ones[word])
+        return ((place - at) << self.low_bits) | self._low(at)
 
     def values(self) -> np.ndarray:
         """The whole sequence."""
@@ -191,6 +207,12 @@ class EliasFano:
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """The index of each value, -1 where it is absent."""
+        if len(values) * MANY > self.count:
+            if not self.count:
+                return np.full(len(values), -1, dtype=np.int64)
+            own = self.values()
+            at = np.minimum(np.searchsorted(own, values), self.count - 1)
+            return np.where(own[at] == values, at, -1)
         out = np.full(len(values), -1, dtype=np.int64)
         # beyond the last step there is nothing
         steps = self._zeros[-1]
@@ -222,14 +244,14 @@ class EliasFano:
 
 class Level:
     """The nodes of two or three words of a shard: contexts, pointers to their successors,
-    successors, and the code of each."""
+    successors, the codes that occur, and which of them each successor has."""
 
-    PARTS = 11
+    PARTS = 12
 
     def __init__(self, arrays: list[np.ndarray]):
         self.first = int(arrays[0][0])
         self.contexts, self.pointers, self.successors = (EliasFano.over(arrays[i : i + 3]) for i in (1, 4, 7))
-        self.codes = arrays[10].view("<u2")
+        self.book, self.codes = arrays[10].astype(np.int64), arrays[11]
 
     @classmethod
     def arrays_of(cls, names: np.ndarray, codes: np.ndarray) -> list[np.ndarray]:
@@ -243,21 +265,21 @@ class Level:
         values = successor + np.repeat(base, ends - begin)
         first = int(contexts[0]) if len(contexts) else 0
         pointers = np.append(begin, len(names))
-        padded = np.zeros(-(-len(codes) // 4) * 4, "<u2")
-        padded[: len(codes)] = codes
+        book, which = np.unique(codes, return_inverse=True)
         rising = (contexts - first, pointers, values)
         sequences = [EliasFano.of(v, int(v[-1]) if len(v) else 0).arrays for v in rising]
-        return [np.array([first], "<u8"), *(a for part in sequences for a in part), padded.view("<u8")]
+        return [np.array([first], "<u8"), *(a for part in sequences for a in part), book, _pack(which, _width(book))]
 
     def find(self, names: np.ndarray) -> np.ndarray:
         """The code of each of the rising names, -1 where it is absent."""
         context, successor = _parts(names)
-        own, back = np.unique(context, return_inverse=True)
+        new = np.append(len(names) > 0, context[1:] != context[:-1])[: len(names)]
+        own, back = context[new], np.cumsum(new) - 1
         place = self.contexts.find(own - self.first)
         known = np.flatnonzero(place >= 0)
         begin, end, base = (np.zeros(len(own), dtype=np.int64) for _ in range(3))
-        begin[known] = self.pointers.get(place[known])
-        end[known] = self.pointers.get(place[known] + 1)
+        both = self.pointers.get(np.append(place[known], place[known] + 1))
+        begin[known], end[known] = both[: len(known)], both[len(known) :]
         later = known[begin[known] > 0]
         base[later] = self.successors.get(begin[later] - 1)
         out = np.full(len(names), -1, dtype=np.int64)
@@ -265,13 +287,18 @@ class Level:
         of = back[asked]
         at = self.successors.find(base[of] + successor[asked])
         hit = (at >= begin[of]) & (at < end[of])
-        out[asked[hit]] = self.codes[at[hit]]
+        out[asked[hit]] = self.book[_unpack(self.codes, _width(self.book), at[hit])]
         return out
 
 
+def _width(book: np.ndarray) -> int:
+    """Bits of a place in it."""
+    return max(len(book) - 1, 0).bit_length()
+
+
 def _parts(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The context of a name, and its successor there, from 1."""
-    return names >> SUCCESSOR_BITS, (names & ((1 << SUCCESSOR_BITS) - 1)) + 1
+    """The context of a name, and its successor there, from 1, without the length."""
+    return names >> SUCCESSOR_BITS, ((names & ((1 << SUCCESSOR_BITS) - 1)) >> 2) + 1
 
 
 def codes_of(counts: np.ndarray, n: int) -> np.ndarray:
@@ -285,8 +312,10 @@ def masses(codes: np.ndarray, n: int) -> np.ndarray:
 
 
 def levels_blob(words: np.ndarray, counts: np.ndarray, deeper: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
-    """A shard's words with their counts, and levels of names and codes, as one file."""
-    arrays = [*EliasFano.of(words, int(words[-1]) if len(words) else 0).arrays, counts.astype("<u8")]
+    """A shard's words, the running sum of their counts, and levels of names and codes, as
+    one file."""
+    before = np.append(0, np.cumsum(counts))
+    arrays = EliasFano.of(words, int(words[-1]) if len(words) else 0).arrays + EliasFano.of(before, int(before[-1])).arrays
     for names, codes in deeper:
         arrays += Level.arrays_of(names, codes)
     sizes = np.array([len(arrays), *map(len, arrays)], "<u8")
@@ -298,8 +327,8 @@ def levels_over(whole: np.ndarray) -> tuple[EliasFano, np.ndarray, list[Level]]:
     number = int(whole[0])
     cuts = np.cumsum(np.append(number + 1, whole[1 : number + 1].astype(np.int64)))
     arrays = [whole[b:e] for b, e in zip(cuts[:-1], cuts[1:])]
-    deeper = [Level(arrays[i : i + Level.PARTS]) for i in range(4, len(arrays), Level.PARTS)]
-    return EliasFano.over(arrays[:3]), arrays[3].view("<i8"), deeper
+    deeper = [Level(arrays[i : i + Level.PARTS]) for i in range(6, len(arrays), Level.PARTS)]
+    return EliasFano.over(arrays[:3]), np.diff(EliasFano.over(arrays[3:6]).values()), deeper
 
 
 def keep_file(folder: str, name: str, blob: bytes) -> np.ndarray:
@@ -348,7 +377,7 @@ def nodes(words: np.ndarray, hot: np.ndarray, splits: int) -> np.ndarray:
     of hot words are split by the word that follows."""
     one = _node(words, 1)
     two, three = one.copy(), one.copy()
-    often = np.isin(words, hot)
+    often = hot[np.searchsorted(hot, words).clip(max=len(hot) - 1)] == words if len(hot) else words < 0
     split = words % splits + 1
     low = np.int64((1 << SUCCESSOR_BITS) - 1)
 
@@ -449,18 +478,20 @@ def hot_words(cut: DataFrame) -> np.ndarray:
     return np.array(sorted(r["often"] for r in hot.collect()), dtype=np.int64)
 
 
-def _distinct(every: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted distinct nodes of a level, and the index of each."""
-    own = every[list(LEVELS[level])]
-    keys, back = np.unique(own.reshape(-1), return_inverse=True)
-    return keys, back.reshape(own.shape)
+def _distinct(every: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct nodes of a round, the index of each, and which nodes it takes."""
+    rows, half = ROUNDS[turn]
+    mine = np.zeros(every.shape, dtype=bool)
+    mine[list(rows)] = True if half is None else every[list(rows)] >> 62 == half
+    keys, back = np.unique(every[mine], return_inverse=True)
+    return keys, back, mine
 
 
 def _words(words: bytes, codes: bytes) -> np.ndarray:
     return np.frombuffer(words, dtype="<i8")[_numbers(zlib.decompress(codes), "<u4")]
 
 
-def node_answers(cut: DataFrame, shards: int, level: int, hot: np.ndarray, n: int, folder: str) -> DataFrame:
+def node_answers(cut: DataFrame, shards: int, turn: int, hot: np.ndarray, n: int, folder: str) -> DataFrame:
     """For each chunk and shard what the shard's levels, kept as a file in the folder, say
     of the chunk's nodes, in their order: of a word its count, of others 1 more than
     their code, 0 where absent. For each shard also, as chunk -1, how many words and
@@ -473,13 +504,15 @@ def node_answers(cut: DataFrame, shards: int, level: int, hot: np.ndarray, n: in
             for chunk, ids, leads, sizes, words, codes in zip(*columns):
                 leads, sizes = np.array(leads), np.array(sizes)
                 every, inside, piece = _asked(_words(words, codes), sizes, leads, hot, shards)
-                keys, back = _distinct(every, level)
+                keys, back, mine = _distinct(every, turn)
+                if not len(keys):
+                    continue
                 learnt = np.array([trains(d) for d in ids])[piece]
                 counted, place = inside & learnt, _places(sizes)[1]
                 # a text's START counts once; where a triple is missing, nothing does
                 first = (place == 0) & (leads == 1)[piece] & learnt
-                here = (counted | first, counted, counted & (place > 1))
-                times = sum(np.bincount(b[here[k]], minlength=len(keys)) for k, b in zip(LEVELS[level], back))
+                here = np.stack([counted | first, counted, counted & (place > 1)])[mine]
+                times = np.bincount(back[here], minlength=len(keys))
                 at = keys // width
                 cuts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
                 ends = np.append(cuts[1:], len(keys))
@@ -511,7 +544,7 @@ def node_answers(cut: DataFrame, shards: int, level: int, hot: np.ndarray, n: in
         blob = levels_blob(
             wanted[kept[1]], total[kept[1]], [(names[kept[k]], codes_of(total[kept[k]], n)) for k in (2, 3)]
         )
-        words, counts, deeper = levels_over(keep_file(folder, f"level{level}-{shard:08d}", blob))
+        words, counts, deeper = levels_over(keep_file(folder, f"round{turn}-{shard:08d}", blob))
         # an absent word has the last place, and no count
         found = np.zeros(len(names), dtype=np.int64)
         found[own[1]] = np.append(counts, 0)[words.find(wanted[own[1]])]
@@ -531,7 +564,7 @@ def node_answers(cut: DataFrame, shards: int, level: int, hot: np.ndarray, n: in
                     "v": pa.array([None] * len(who[some]), pa.int64()),
                 }
             )
-        # words are counted in the first level; in others their nodes stand without counts
+        # words are counted in the first round; in others their nodes stand without counts
         yield pa.RecordBatch.from_pydict(
             {
                 "chunk": pa.array([-1], pa.int64()),
@@ -571,28 +604,27 @@ def score(docs: DataFrame) -> DataFrame:
     shards = max(SHARDS, -(-size // SHARD_BYTES))
     hot, learnt = hot_words(cut), cut.select(F.sum("learnt")).first()[0] or 0
     folder = shared_folder(docs.sparkSession, "trie")
-    answers = [node_answers(cut, shards, level, hot, learnt, folder) for level in range(len(LEVELS))]
+    answers = [node_answers(cut, shards, turn, hot, learnt, folder) for turn in range(len(ROUNDS))]
     sums = answers[0].where("chunk = -1").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n, v = sums["n"] or 0, sums["v"] or 0
 
     def scored(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, own = [{} for _ in LEVELS], None
+        parts, own = [{} for _ in ROUNDS], None
         for batch in rows:
-            columns = ("level", "shard", "counts", "rows", "ids", "leads", "sizes", "words", "codes")
-            for level, shard, blob, *texts in zip(*(batch[c].to_pylist() for c in columns)):
-                if level is None:
+            columns = ("turn", "shard", "counts", "rows", "ids", "leads", "sizes", "words", "codes")
+            for turn, shard, blob, *texts in zip(*(batch[c].to_pylist() for c in columns)):
+                if turn is None:
                     own = texts
                 else:
-                    parts[level][shard] = _numbers(zlib.decompress(blob))
+                    parts[turn][shard] = _numbers(zlib.decompress(blob))
         of, ids, leads, sizes, words, codes = own
         every, inside, piece = _asked(_words(words, codes), np.array(sizes), np.array(leads), hot, shards)
         counts = np.empty(every.shape)
-        for level, found in enumerate(parts):
+        for turn, found in enumerate(parts):
+            keys, back, mine = _distinct(every, turn)
             # shards are ranges, so their answers follow each other as the nodes do
-            keys, back = _distinct(every, level)
-            said = np.concatenate([found[s] for s in sorted(found)])
-            said = np.where(keys & 3 == 1, said, masses(said - 1, n))
-            counts[list(LEVELS[level])] = said[back]
+            said = np.concatenate([found[s] for s in sorted(found)]) if found else keys[:0]
+            counts[mine] = np.where(keys & 3 == 1, said, masses(said - 1, n))[back]
         at = np.flatnonzero(inside)
         place = _places(np.array(sizes))[1][at]
         here, before = counts[:, at], counts[0][at - 1]
@@ -614,8 +646,8 @@ def score(docs: DataFrame) -> DataFrame:
         )
 
     together = cut.drop("often", "times", "learnt")
-    for level, found in enumerate(answers):
-        replies = found.where("chunk >= 0").select("chunk", F.lit(level).alias("level"), "shard", "counts")
+    for turn, found in enumerate(answers):
+        replies = found.where("chunk >= 0").select("chunk", F.lit(turn).alias("turn"), "shard", "counts")
         together = together.unionByName(replies, allowMissingColumns=True)
     out = together.groupBy("chunk").applyInArrow(
         scored, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double"

@@ -173,7 +173,9 @@ def test_votes_sort_themselves():
     assert chance["1,1,1"] > 0.9 and chance["0,1,1"] > 0.5 and chance["-1,-1,-1"] < 0.1
 
 
-def test_elias_fano():
+@pytest.mark.parametrize("many", [0, 8])
+def test_elias_fano(many, monkeypatch):
+    monkeypatch.setattr(trie, "MANY", many)
     rng = np.random.default_rng(1)
     for n, top in ((0, 10), (1, 5), (300, 300), (2000, 1 << 24)):
         values = np.sort(rng.choice(top, n, replace=False)).astype(np.int64)
@@ -185,17 +187,19 @@ def test_elias_fano():
         assert level.find(np.array([-1, top * 9 + 99])).tolist() == [-1, -1]
 
 
-def test_trie_levels(tmp_path):
+@pytest.mark.parametrize("many", [0, 8])
+def test_trie_levels(many, tmp_path, monkeypatch):
     """A level finds exactly its own nodes, each under its context."""
+    monkeypatch.setattr(trie, "MANY", many)
     rng = np.random.default_rng(3)
     for n, contexts in ((0, 1), (1, 1), (500, 3), (5000, 4000)):
         names = (rng.integers(0, contexts, n) << trie.SUCCESSOR_BITS) + rng.integers(0, 1 << 12, n)
-        names = np.unique(names)
+        names = np.unique(names & ~np.int64(3))
         codes = rng.integers(0, 65535, len(names)).astype(np.uint16)
         blob = trie.levels_blob(np.array([3, 9]), np.array([5, 6]), [(names, codes), (names[:0], codes[:0])])
         words, counts, (level, none) = trie.levels_over(trie.keep_file(f"file:{tmp_path}", f"l{n}", blob))
         kept = dict(zip(names.tolist(), codes.tolist()))
-        asked = np.unique(np.append(names, (rng.integers(0, contexts + 2, 900) << trie.SUCCESSOR_BITS) + rng.integers(0, 1 << 12, 900)))
+        asked = np.unique(np.append(names, (rng.integers(0, contexts + 2, 900) << trie.SUCCESSOR_BITS) + rng.integers(0, 1 << 12, 900)) & ~np.int64(3))
         assert level.find(asked).tolist() == [kept.get(x, -1) for x in asked.tolist()]
         assert (none.find(asked) == -1).all() and counts[words.find(np.array([9]))].tolist() == [6]
 
