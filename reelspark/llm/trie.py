@@ -19,8 +19,9 @@ follow is split by its successors into as many contexts as there are shards.
 
 The model is a hierarchy of Dirichlet priors: add-one words, smoothed into pairs, these
 into triples. What a level keeps of a pair or triple is the log of its joint probability,
-in steps of 1/4096 of a decade in two bytes, so a token's log10 probability is off by at
-most 2.5e-4. Counts of words, and the base score from them, are exact.
+in steps of 1/4096 of a decade; a shard answers with the whole number of occurrences that
+it stands for, so a token's log10 probability is off by at most 5e-4. Counts of words, and
+the base score from them, are exact.
 
 Defined cases: a null text is empty and has only its end token; a null id is the empty
 text, so its remainder is 0 and it trains; repeated rows count as often as they occur;
@@ -128,6 +129,13 @@ def _select(words: np.ndarray, k: np.ndarray) -> np.ndarray:
     return byte * 8 + np.minimum((np.cumsum(bits, axis=1, dtype=np.uint8) <= left[:, None]).sum(axis=1), 7)
 
 
+def remove_folder(folder: str) -> None:
+    """Remove a folder of level files, if there is one."""
+    files, path = pa.fs.FileSystem.from_uri(folder)
+    if files.get_file_info(path).type == pa.fs.FileType.Directory:
+        files.delete_dir(path)
+
+
 def _pack(values: np.ndarray, bits: int) -> np.ndarray:
     """Numbers of so many bits end to end, and a spare word."""
     out = np.zeros(len(values) * bits // 64 + 2, dtype="<u8")
@@ -307,8 +315,8 @@ def codes_of(counts: np.ndarray, n: int) -> np.ndarray:
 
 
 def masses(codes: np.ndarray, n: int) -> np.ndarray:
-    """How often codes say that their nodes occur, 0 for -1."""
-    return np.where(codes >= 0, n * 10.0 ** (-codes / STEPS), 0.0)
+    """How often codes say that their nodes occur, in whole numbers, 0 for -1."""
+    return np.where(codes >= 0, np.rint(n * 10.0 ** (-codes / STEPS)), 0).astype(np.int64)
 
 
 def levels_blob(words: np.ndarray, counts: np.ndarray, deeper: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
@@ -493,8 +501,8 @@ def _words(words: bytes, codes: bytes) -> np.ndarray:
 
 def node_answers(cut: DataFrame, shards: int, turn: int, hot: np.ndarray, n: int, folder: str) -> DataFrame:
     """For each chunk and shard what the shard's levels, kept as a file in the folder, say
-    of the chunk's nodes, in their order: of a word its count, of others 1 more than
-    their code, 0 where absent. For each shard also, as chunk -1, how many words and
+    of the chunk's nodes, in their order: how often each occurs, of a word exactly, of
+    others as their code has it, 0 where absent. For each shard also, as chunk -1, how many words and
     tokens it holds."""
     width = -(-(1 << 63) // shards)
 
@@ -549,7 +557,7 @@ def node_answers(cut: DataFrame, shards: int, turn: int, hot: np.ndarray, n: int
         found = np.zeros(len(names), dtype=np.int64)
         found[own[1]] = np.append(counts, 0)[words.find(wanted[own[1]])]
         for k, stored in zip((2, 3), deeper):
-            found[own[k]] = stored.find(names[own[k]]) + 1
+            found[own[k]] = masses(stored.find(names[own[k]]), n)
         word = (order == 1) & (found > 0) & (names != _node(np.int64(START), 1))
         cuts = np.cumsum([0, *(len(k) for k in keys)])
         blobs = [zlib.compress(_planes(found[back[b:e]]), 1) for b, e in zip(cuts[:-1], cuts[1:])]
@@ -597,14 +605,20 @@ def probabilities(counts: np.ndarray, before: np.ndarray, pairs: np.ndarray, n:
     return one, np.where(pairs < 0, two, three)
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score."""
+def score(docs: DataFrame, keep: str | None = None) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score. The levels
+    stay in the folder ``keep``; without one, those of a round are removed when all that is
+    asked of them is answered and written."""
     size = docs.select(F.sum(F.octet_length(text_of()))).first()[0] or 0
     cut = chunks(docs)
     shards = max(SHARDS, -(-size // SHARD_BYTES))
     hot, learnt = hot_words(cut), cut.select(F.sum("learnt")).first()[0] or 0
-    folder = shared_folder(docs.sparkSession, "trie")
-    answers = [node_answers(cut, shards, turn, hot, learnt, folder) for turn in range(len(ROUNDS))]
+    answers = []
+    for turn in range(len(ROUNDS)):
+        folder = keep or shared_folder(docs.sparkSession, "trie")
+        answers.append(node_answers(cut, shards, turn, hot, learnt, folder))
+        if not keep:
+            remove_folder(folder)
     sums = answers[0].where("chunk = -1").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n, v = sums["n"] or 0, sums["v"] or 0
 
@@ -619,12 +633,12 @@ def score(docs: DataFrame) -> DataFrame:
                     parts[turn][shard] = _numbers(zlib.decompress(blob))
         of, ids, leads, sizes, words, codes = own
         every, inside, piece = _asked(_words(words, codes), np.array(sizes), np.array(leads), hot, shards)
-        counts = np.empty(every.shape)
+        counts = np.empty(every.shape, dtype=np.int64)
         for turn, found in enumerate(parts):
-            keys, back, mine = _distinct(every, turn)
+            _, back, mine = _distinct(every, turn)
             # shards are ranges, so their answers follow each other as the nodes do
-            said = np.concatenate([found[s] for s in sorted(found)]) if found else keys[:0]
-            counts[mine] = np.where(keys & 3 == 1, said, masses(said - 1, n))[back]
+            said = np.concatenate([found[s] for s in sorted(found)]) if found else back
+            counts[mine] = said[back]
         at = np.flatnonzero(inside)
         place = _places(np.array(sizes))[1][at]
         here, before = counts[:, at], counts[0][at - 1]
