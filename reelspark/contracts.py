@@ -66,7 +66,7 @@ EXPECTED_TYPES = {
     },
 }
 
-# Primary key of each dataset.
+# Primary key of each dataset.
 KEYS = {
     "users": "user_id",
     "content": "content_id",
@@ -74,7 +74,8 @@ KEYS = {
     "events": "event_id",
 }
 
-# (child table, child column, parent table, parent column) of each declared foreign key.
+# Fixed values: (child table, child column, parent table, parent column) of each declared
+# foreign key.
 FOREIGN_KEYS = (
     ("subscriptions", "user_id", "users", "user_id"),
     ("events", "user_id", "users", "user_id"),
