@@ -53,8 +53,8 @@ MATCHES = 2
 MEMBERS, QUERIES = 64, 256
 #: Word hashes that a task keeps at hand.
 WORDS = 1 << 16
-#: Rows up to which a narrow side of a join is broadcast; beyond, both sides shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Bytes up to which a narrow side of a join is broadcast; beyond, both sides shuffle.
+BROADCAST_BYTES = 4 << 20
 
 _FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -95,8 +95,10 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def small_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join with a narrow stored side: broadcast if it is counted to be small."""
-    if right.count() <= BROADCAST_ROWS:
+    """Join with a narrow stored side: broadcast if its values are measured small."""
+    wide = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in right.dtypes if kind in ("string", "binary")]
+    width = sum(wide, F.lit(8 * len(right.columns)))
+    if (right.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES:
         return left.join(F.broadcast(right), keys, how)
     return lookup_join(left, right, keys, how)
 
