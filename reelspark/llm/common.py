@@ -35,6 +35,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def remove_written(df: DataFrame) -> None:
+    """Remove the files of a frame that ``written`` gave, once what reads it is written."""
+    files = df.inputFiles()
+    if files:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of jobs that are done go when the driver's collector finds their plans
+    unused; ask for that now, as a long query else piles them up."""
+    spark._jvm.java.lang.System.gc()
+
+
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
