@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,25 +44,26 @@ def remove_written(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Shuffle files of jobs that are done go when the driver's collector finds their plans
-    unused; ask for that now, as a long query else piles them up."""
-    spark._jvm.java.lang.System.gc()
-
-
-_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
 @contextmanager
-def small_batches(spark: SparkSession, size: int = 1 << 20) -> Iterator[None]:
-    """Jobs that run inside hand texts to Python in batches of so many bytes: a batch of
-    long texts is bounded before a worker holds it."""
-    before = spark.conf.get(_BATCH_BYTES)
-    spark.conf.set(_BATCH_BYTES, str(size))
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_BATCH_BYTES, before)
+        spark.conf.set(name, before)
+
+
+def small_batches(spark: SparkSession, size: int = 1 << 20) -> AbstractContextManager[None]:
+    """Jobs that run inside hand texts to Python in batches of so many bytes: a batch of
+    long texts is bounded before a worker holds it."""
+    return _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+def brief_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """Jobs that run inside remove their shuffle files when they end. Else files stay until
+    the driver's collector finds the plan unused, and a query of many jobs piles them up."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def text_of(name: str = "text") -> Column:
