@@ -256,7 +256,10 @@ def test_kept_trie(spark, docs, tmp_path):
     assert times and trie.masses(np.array(found), n).tolist() == [times, times]
 
 
-def test_suffix_array():
+@pytest.mark.parametrize("full", [0, 64, 1 << 40])
+def test_suffix_array(monkeypatch, full):
+    # by buckets at every size, where they pay, and one by one
+    monkeypatch.setattr(suffix, "FULL_BUCKET", full)
     rng = np.random.default_rng(2)
     for _ in range(60):
         s = np.append(rng.integers(1, rng.integers(2, 6), rng.integers(0, 50)), 0)
@@ -270,6 +273,35 @@ def test_suffix_array():
             assert shared[b] == k
 
 
+def test_shared_windows():
+    rng = np.random.default_rng(3)
+    passage = bytes(rng.integers(97, 100, 70).tolist())
+    segments = [bytes(rng.integers(97, 100, rng.integers(50, 80)).tolist()) for _ in range(40)]
+    segments += [passage[i : i + 55] for i in (0, 3, 6, 12)] + [b"a" * 60, b"a" * 52]
+    owners = np.arange(len(segments)) // 2
+    holders = collections.defaultdict(set)
+    begin, want = 0, []
+    for n in (0, 1):
+        begin = 0
+        for owner, s in zip(owners.tolist(), segments):
+            for k in range(len(s) - 49):
+                holders[s[k : k + 50]].add(owner)
+                if n and len(holders[s[k : k + 50]]) > 1:
+                    want.append(begin + k)
+            begin += len(s)
+    data = np.frombuffer(b"".join(segments), dtype=np.uint8)
+    got = suffix.shared_windows(data, np.array([len(s) for s in segments]), owners)
+    assert want and got.tolist() == want
+
+
+def test_merged_spans():
+    def packed(*spans):
+        return [(b << 32) + e for b, e in spans]
+
+    assert suffix.merged(packed((60, 110), (0, 50), (50, 100))) == ([0], [110])
+    assert suffix.merged(packed((0, 90), (10, 60), (91, 141))) == ([0, 91], [90, 141])
+
+
 def brute_removed(rows):
     first = {}
     for i, text in rows:
