@@ -157,3 +157,18 @@ def test_cleaning_without_optional_columns(spark):
 def test_invalid_first_copy_removes_the_key(spark):
     df = events(spark, [("E1", None, *GOOD), ("E1", "U1", *GOOD)])
     assert cleaning.clean_events(df).count() == 0
+
+
+def test_numbers_are_told_by_pattern_before_a_cast(spark):
+    """A failing cast is slow, so it is tried only where the pattern fits; the pattern lets
+    through whatever the cast can read."""
+    read = "1.5 .5 5. 1e5 1E-3 1.5f 2d 0x1p3 0x.8P1D inf -Inf +infinity Infinity".split()
+    read += ["\x01 1.5\x1f", "\n2.5\n"]
+    other = ["NaN", "-nan", "abc", "2024-01-01", "10:00", "e5", ".", "", " ", "1.5ff", "true", "1_000", "0x10", "1e", "\u0661"]
+    df = spark.createDataFrame([(v,) for v in read + other], "v string")
+    fits = f"v RLIKE '{drift._NUMBER}'"
+    number = "coalesce(nullif(try_cast(v AS DOUBLE), double('NaN')) IS NOT NULL, false)"
+    got = {r[0]: (r[1], r[2]) for r in df.selectExpr("v", number, fits).collect()}
+    assert all(got[v] == (True, True) for v in read)
+    assert not any(got[v][0] for v in other) and not any(got[v][1] for v in other[2:])
+    assert "RLIKE" in drift._KINDS.split("try_cast")[0].splitlines()[-1]
