@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelspark.functions.exprs import has_value
-from reelspark.operators.spread import lookup_join, rank_within, top_per_key
+from reelspark.operators.spread import lookup_join, rank_within, stored, top_per_key
 
 # List sizes of a profile.
 N_GENRES, N_DIRECTORS, N_TITLES = 3, 2, 4
@@ -22,6 +22,10 @@ N_GENRES, N_DIRECTORS, N_TITLES = 3, 2, 4
 COLD_START_SCORE = 85
 COLD_START_REASON = "🔥 Trending Global Top Pick — Acclaimed by critics"
 
+# Titles that one task compares with the heads of their lists, and the measured bytes of
+# heads up to which they are broadcast.
+TITLES_PER_TASK, HEADS_BYTES = 20_000, 16 << 20
+
 _SEP = "\x01"
 
 
@@ -271,6 +275,8 @@ def similar_titles(content: DataFrame, top_n: int = 4, ordinal: str = "content_i
     Similarity is 50, +35 for the same genre, +15 for the same director, plus four
     points per rating point above 7, at most 98. The best N are among the first N + 1
     of four lists (all, genre, director, pair), each ordered by the score it implies.
+    The heads of the lists come to a title as arrays: by broadcast if measured small,
+    else by joins that can be split.
     """
     adjustment = ((F.coalesce(F.col("rating").cast("double"), F.lit(7.0)) - 7.0) * 4).cast("int")
     catalog = content.select(
@@ -288,9 +294,12 @@ def similar_titles(content: DataFrame, top_n: int = 4, ordinal: str = "content_i
         entry(15, F.lit("director"), director),
         entry(50, F.lit("pair"), genre, director),
     )
+    # a catalog of a few files must not be one task: each title meets up to 4 (N + 1) others
+    catalog = stored(catalog)
+    tasks = max(1, -(-catalog.count() // TITLES_PER_TASK))
+    catalog = catalog.repartition(tasks, "content_id")
     listed = catalog.select("*", F.inline(lists))
-    heads = top_per_key(listed, "list_key", [F.desc("_implied"), F.col("_ord")], top_n + 1, "_place").select(
-        "list_key",
+    shown = F.struct(
         F.col("content_id").alias("similar_id"),
         F.col("title").alias("similar_title"),
         F.col("genre").alias("similar_genre"),
@@ -299,23 +308,43 @@ def similar_titles(content: DataFrame, top_n: int = 4, ordinal: str = "content_i
         F.col("_adj").alias("_similar_adj"),
         F.col("_ord").alias("_similar_ord"),
     )
-    titles = listed.select("content_id", "title", "genre", "director", "list_key")
-    candidates = (
-        lookup_join(titles, heads, ["list_key"])
-        .where(F.col("content_id") != F.col("similar_id"))
-        .drop("list_key")
-        .dropDuplicates(["content_id", "similar_id"])
-    )
-    similarity = (
-        F.lit(50)
-        + F.when(F.col("genre").eqNullSafe(F.col("similar_genre")), 35).otherwise(0)
-        + F.when(F.col("director").eqNullSafe(F.col("_similar_director")), 15).otherwise(0)
-        + F.col("_similar_adj")
-    )
-    scored = candidates.withColumn("similarity_score", F.least(similarity, F.lit(98)))
-    best = top_per_key(
-        scored, "content_id", [F.desc("similarity_score"), F.col("_similar_ord")], top_n, "place"
+    heads = top_per_key(listed, "list_key", [F.desc("_implied"), F.col("_ord")], top_n + 1, "_place")
+    heads = stored(heads.groupBy("list_key").agg(F.collect_list(shown).alias("_heads")))
+    everywhere = heads.where(F.col("list_key") == _list_key(F.lit("all"))).select("_heads").scalar()
+    met = catalog.withColumn("_met", everywhere)
+    held = F.aggregate("_heads", F.lit(0), lambda n, h: n + 96 + sum(
+        F.coalesce(F.octet_length(h[c]), F.lit(0)) for c in ("similar_title", "similar_genre", "_similar_director")
+    ))
+    few = (heads.agg(F.sum(F.octet_length("list_key") + held)).first()[0] or 0) <= HEADS_BYTES
+    for key in ((F.lit("genre"), genre), (F.lit("director"), director), (F.lit("pair"), genre, director)):
+        keyed = met.withColumn("list_key", _list_key(*key))
+        joined = keyed.join(F.broadcast(heads), "list_key", "left") if few else lookup_join(keyed, heads, ["list_key"], "left")
+        met = joined.withColumn("_met", F.concat("_met", "_heads")).drop("list_key", "_heads")
+
+    def scored(h: Column) -> Column:
+        similarity = (
+            F.lit(50)
+            + F.when(genre.eqNullSafe(h["similar_genre"]), 35).otherwise(0)
+            + F.when(director.eqNullSafe(h["_similar_director"]), 15).otherwise(0)
+            + h["_similar_adj"]
+        )
+        best_first = (-F.least(similarity, F.lit(98))).alias("_sunk")
+        return F.struct(best_first, h["_similar_ord"].alias("_similar_ord"), *(
+            h[c].alias(c) for c in ("similar_id", "similar_title", "similar_genre", "similar_rating")
+        ))
+
+    # a title's candidates are cut to N inside its row, so that no task holds them all
+    others = F.filter("_met", lambda h: F.col("content_id") != h["similar_id"])
+    ranked = met.select("content_id", "title", F.array_sort(F.transform(others, scored)).alias("_ranked"))
+    seen = F.transform("_ranked", lambda c: c["similar_id"])
+    once = F.filter("_ranked", lambda c, i: ~F.array_contains(F.slice(seen, F.lit(1), i), c["similar_id"]))
+    candidates = ranked.select("content_id", "title", F.inline(F.slice(once, 1, top_n))).withColumn(
+        "similarity_score", -F.col("_sunk")
     )
+    order = [F.desc("similarity_score"), F.col("_similar_ord")]
+    # rows of one title id, if it repeats, share their candidates
+    candidates = top_per_key(candidates, ["content_id", "similar_id"], order, 1, "_first")
+    best = top_per_key(candidates, "content_id", order, top_n, "place")
     return best.select(
         "content_id",
         "title",

@@ -106,3 +106,19 @@ def test_cold_start_offers_best_rated(spark):
     assert len(rows) == 9
     assert {r.match_score for r in rows} == {85}
     assert {(r.place, r.content_id) for r in rows} == {(i + 1, c[0]) for i, c in enumerate(best)}
+
+
+def test_similar_titles_are_cut_inside_their_row(spark, monkeypatch):
+    """Candidates of a title meet in its row: nothing groups or shuffles all of them, and
+    a catalog of one small file is many tasks. Both ways to join give the same rows."""
+    monkeypatch.setattr(recommend, "TITLES_PER_TASK", 7)
+    catalog, _ = random_case(2)
+    catalog += [(100, "x", None, "Movie", 9.0, None), (101, "y", None, "Movie", None, None), catalog[0]]
+    content = spark.createDataFrame(catalog, CONTENT)
+    similar = recommend.similar_titles(content, 4)
+    plan = similar._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "Aggregate [content_id" not in plan
+    rows = sorted(map(tuple, similar.collect()), key=str)
+    monkeypatch.setattr(recommend, "HEADS_BYTES", 0)
+    assert rows == sorted(map(tuple, recommend.similar_titles(content, 4).collect()), key=str)
+    assert len({(r[0], r[3]) for r in rows}) == len(rows) == 4 * (len(catalog) - 1)
