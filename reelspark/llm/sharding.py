@@ -66,10 +66,10 @@ def _leaves(cells: DataFrame, base: int, depth: int, limit: int) -> DataFrame:
     )
 
 
-def directory(rows: DataFrame, limit: int) -> tuple[DataFrame, list[int]]:
-    """The shards of rows (_bits, _bytes) and the depths of the rounds."""
+def directory(rows: DataFrame, limit: int) -> DataFrame:
+    """The shards of rows (_bits, _bytes)."""
     done: list[DataFrame] = []
-    left, base, reached = rows, 0, []
+    left, base = rows, 0
     while True:
         depth = min(base + STEP, BITS)
         cells = left.groupBy((F.shiftright("_bits", BITS - depth)).alias("_cell")).agg(
@@ -80,7 +80,6 @@ def directory(rows: DataFrame, limit: int) -> tuple[DataFrame, list[int]]:
         )
         cells = cells.withColumn("_bits", F.shiftleft("_cell", BITS - depth))
         found = written(_leaves(cells, base, depth, limit), "directory")
-        reached.append(depth)
         if depth == BITS:
             done.append(found)
             break
@@ -91,7 +90,24 @@ def directory(rows: DataFrame, limit: int) -> tuple[DataFrame, list[int]]:
         keys = too_large.select(F.col("prefix").alias("_cell"))
         left = lookup_join(left.withColumn("_cell", F.shiftright("_bits", BITS - depth)), keys, ["_cell"]).drop("_cell")
         base = depth
-    return reduce(DataFrame.unionByName, done), reached
+    return reduce(DataFrame.unionByName, done)
+
+
+def placed(rows: DataFrame, shards: DataFrame) -> DataFrame:
+    """Rows with the depth, prefix, bytes and rows of their shard.
+
+    A directory entry is a cell at the depth of the shallowest shard, and holds the shards
+    below it as an array, of which a row matches one. So entries number no more than
+    shards, however deep the deepest shard lies.
+    """
+    least = shards.agg(F.min("depth")).first()[0] or 0
+    within = F.call_function("shiftright", F.col("prefix"), (F.col("depth") - least).cast("int"))
+    entries = shards.groupBy(within.alias("_cell")).agg(
+        F.collect_list(F.struct("depth", "prefix", "bytes", "rows")).alias("_shards")
+    )
+    met = lookup_join(rows.withColumn("_cell", F.shiftright("_bits", BITS - least)), entries, ["_cell"])
+    own = F.filter("_shards", lambda s: _prefix(F.col("_bits"), s["depth"]) == s["prefix"])
+    return met.select(*rows.columns, F.inline(own))
 
 
 def shard(docs: DataFrame, limit: int = LIMIT_BYTES, key: str = "doc_id") -> DataFrame:
@@ -103,21 +119,7 @@ def shard(docs: DataFrame, limit: int = LIMIT_BYTES, key: str = "doc_id") -> Dat
         ),
         "hashes",
     )
-    shards, reached = directory(rows, limit)
-    # the directory: one entry per cell of the round in which the shard was settled
-    depths = sorted(reached)
-    settled = reduce(lambda c, d: F.when(F.col("depth") <= d, F.lit(d)).otherwise(c), reversed(depths[:-1]), F.lit(depths[-1]))
-    entries = shards.withColumn("_round", settled)
-    width = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_round") - F.col("depth")).cast("int"))
-    first = F.col("prefix") * width
-    entries = entries.withColumn("_cell", F.explode(F.sequence(first, first + width - 1)))
-    out = None
-    for d in depths:
-        # a row meets an entry of exactly one round; earlier rounds hold most
-        part = lookup_join(
-            rows.withColumn("_cell", F.shiftright("_bits", BITS - d)), entries.where(F.col("_round") == d), ["_cell"]
-        )
-        out = part if out is None else out.unionByName(part)
+    out = placed(rows, directory(rows, limit))
     bits = F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2), F.col("depth").cast("int"), "0")
     return out.select(
         F.col("_key").alias(key),

@@ -65,6 +65,28 @@ def test_shards_fit(spark, docs, none):
     assert sharding.shard(none).count() == 0
 
 
+def test_directory_holds_no_more_entries_than_shards(spark):
+    """Two ids whose first 23 bits are equal make deep shards beside many shallow ones; no
+    entries are made for the cells between (2**24 of them in the second round before)."""
+    deep, seen = [], {}
+    for i in range(20_000):
+        head = int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16) >> 37
+        if head in seen:
+            deep = [seen[head], i]
+            break
+        seen[head] = i
+    rows = [(i, "x" * (40 if i in deep else 10)) for i in sorted({*range(200), *deep})]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sharding.shard(frame, limit=70)
+    explodes = out._jdf.queryExecution().optimizedPlan().toString().count("explode(")
+    got = out.toPandas()
+    sizes = got.groupby("shard")["n_bytes"].sum()
+    assert explodes == 0 and len(got) == len(rows) and got["depth"].max() >= 24
+    assert (got["shard_bytes"] == got["shard"].map(sizes)).all() and not got["oversized"].any()
+    assert (got["shard_rows"] == got["shard"].map(got.groupby("shard").size())).all()
+    assert (got["shard"].str.len() == got["depth"]).all()
+
+
 def brute_components(rows, percent=75):
     sets = {}
     for i, text in rows:
