@@ -647,3 +647,24 @@ def test_repeats_of_a_hot_anchor(spark, monkeypatch, tmp_path):
         )
         assert got == want
         assert max(map(int, (tmp_path / "sizes").read_text().split())) <= 200
+
+
+def test_sides_of_many_segments_at_once(monkeypatch):
+    """Keys are those of each segment alone, and equal where the anchor and a whole side
+    are; no segment is read by itself, which took half a millisecond each."""
+    choose = np.random.default_rng(5)
+    made = [bytes(choose.choice(list(b"ab c"), size=n).astype(np.uint8)) for n in choose.integers(50, 81, 400)]
+    made += [b"x" * 50, b"x" * 80, b"ab" * 30, *(m[-60:] for m in made[:50] if len(m) > 60)]
+    places = [int(suffix.anchors(m)[1][0]) for m in made]
+    monkeypatch.delattr(suffix, "anchors")
+    before, after = suffix.sides(made)
+    alone = [suffix.sides([m]) for m in made]
+    assert before.tolist() == [int(b[0]) for b, _ in alone] and after.tolist() == [int(a[0]) for _, a in alone]
+    by_bytes, wide = {}, suffix.ANCHOR + suffix.BESIDE
+    for m, at, b, a in zip(made, places, before.tolist(), after.tolist()):
+        if at >= suffix.BESIDE:
+            by_bytes.setdefault(("before", m[at - suffix.BESIDE : at + suffix.ANCHOR]), set()).add(b)
+        if at + wide <= len(m):
+            by_bytes.setdefault(("after", m[at : at + wide]), set()).add(a)
+    keys = [k for found in by_bytes.values() for k in found]
+    assert all(len(found) == 1 for found in by_bytes.values()) and len(set(keys)) == len(keys) > 100
